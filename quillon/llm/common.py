@@ -145,3 +145,13 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20):
         n = max(1, int(np.searchsorted(total, limit, side="right")))
         yield batch.slice(at, n)
         at += n
+
+
+def match(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null keys match each other; the keys appear once, from the left."""
+    renamed = right.withColumnsRenamed({k: f"#right_{k}" for k in on})
+    condition = None
+    for k in on:
+        same = left[k].eqNullSafe(renamed[f"#right_{k}"])
+        condition = same if condition is None else condition & same
+    return left.join(renamed, condition, how).drop(*(f"#right_{k}" for k in on))

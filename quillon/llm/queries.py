@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillon.llm import packing
+from quillon.llm import lines, mixing, oracles, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_quality_rules", oracles.QUALITY)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), host="source")
+
+
+@query("op6_source_mixing", oracles.MIXING)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), weights=(1, 2, 3), cap=3.0).drop("source")
+
+
+@query("op7_line_dedup", oracles.LINES)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(documents(spark, sf_dir), run=3)
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), tokenizer_path(), capacity=2048, end_id=0)
