@@ -155,3 +155,17 @@ def match(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
         same = left[k].eqNullSafe(renamed[f"#right_{k}"])
         condition = same if condition is None else condition & same
     return left.join(renamed, condition, how).drop(*(f"#right_{k}" for k in on))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_quillon_shipped", False):
+        return
+    import shutil
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='quillon-')}/quillon", "zip", root, "quillon")
+    context.addPyFile(archive)
+    context._quillon_shipped = True

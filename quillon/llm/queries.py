@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import lines, mixing, oracles, packing, quality
+from quillon.llm import common, language, lines, mixing, oracles, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -33,6 +34,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(documents(spark, sf_dir))
+
+
 @query("op4_quality_rules", oracles.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), host="source")
