@@ -70,3 +70,30 @@ from documents d left join (
   select n.doc_id, count(g.i) as n_removed, coalesce(string_agg(case when g.i is null then n.line end, chr(10) order by n.i), '') as kept
   from n left join g on n.doc_id = g.doc_id and n.i = g.i group by n.doc_id) x using (doc_id)
 """
+
+NEAR = rf"""
+with recursive d as (select doc_id, {words("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws from documents),
+s as (
+  select distinct doc_id, case when len(ws) = 1 then ws[1] else ws[i] || ' ' || ws[i + 1] end as x
+  from (select doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 1))) as i from d where len(ws) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+rare as (select x from s group by x having count(*) > 1),
+k as (select doc_id, x from s join rare using (x)),
+p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from k a join k b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+l as (select p.a, p.b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b where 100 * p.k >= 80 * (x.n + y.n - p.k)),
+r as (select doc_id, doc_id as reach from d union select r.doc_id, l.b from r join l on r.reach = l.a)
+select d.doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, min(r.reach) as component_id, d.doc_id = min(r.reach) as kept
+from d join r using (doc_id) left join n using (doc_id) group by d.doc_id
+"""
+
+VECTORS = """
+with recursive e as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)
+    and list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+l as (select a.vec_id as a, b.vec_id as b from e a join e b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.9),
+r as (select vec_id, vec_id as reach from embeddings union select r.vec_id, l.b from r join l on r.reach = l.a)
+select vec_id, (select count(*) from l where l.a = r.vec_id)::bigint as n_links, min(reach)::bigint as component_id, vec_id = min(reach) as kept
+from r group by vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import common, language, lines, mixing, oracles, packing, quality
+from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(documents(spark, sf_dir))
 
 
+@query("op2_minhash_dedup", oracles.NEAR)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
+
+
 @query("op4_quality_rules", oracles.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), host="source")
