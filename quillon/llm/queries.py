@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality
+from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), tokenizer_path(), capacity=2048, end_id=0)
+
+
+@query("op9_embedding_dedup", oracles.VECTORS)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.ship_package(spark)
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.9)
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
