@@ -97,3 +97,16 @@ r as (select vec_id, vec_id as reach from embeddings union select r.vec_id, l.b
 select vec_id, (select count(*) from l where l.a = r.vec_id)::bigint as n_links, min(reach)::bigint as component_id, vec_id = min(reach) as kept
 from r group by vec_id
 """
+
+SUBSTRINGS = rf"""
+with d as (select doc_id, {words()} as ws from documents),
+w as (select doc_id, i, ws[i] as word, len(ws) as n, ws from (select doc_id, ws, unnest(generate_series(1, len(ws))) as i from d)),
+f as (select doc_id, i, array_to_string(ws[i:i + 19], ' ') as x from w where i + 19 <= n),
+k as (select doc_id, i, row_number() over (partition by x order by doc_id, i) as nth from f),
+g as (select distinct doc_id, unnest(generate_series(i, i + 19)) as i from k where nth > 1),
+r as (
+  select w.doc_id, count(g.i) as n_removed, coalesce(string_agg(case when g.i is null then w.word end, ' ' order by w.i), '') as kept
+  from w left join g on w.doc_id = g.doc_id and w.i = g.i group by w.doc_id)
+select d.doc_id, len(d.ws)::bigint as n_words, coalesce(r.n_removed, 0)::bigint as n_removed, sha256(coalesce(r.kept, '')) as kept_sha256
+from d left join r using (doc_id)
+"""

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality, toxicity, vectors
+from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,11 +44,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
 
 
+def _removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+
+
+@query("op3_substring_dedup", oracles.SUBSTRINGS)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.dedup_substrings(documents(spark, sf_dir), length=20)
+    return cut.select("doc_id", F.col("n_units").alias("n_words"), _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_quality_rules", oracles.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), host="source")
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.dedup_bytes(documents(spark, sf_dir), length=400)
+    return cut.select("doc_id", F.col("n_units").alias("n_bytes"), _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_source_mixing", oracles.MIXING)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), weights=(1, 2, 3), cap=3.0).drop("source")
