@@ -1,8 +1,67 @@
-"""Stages that turn `documents` into packed training sequences; filled in as the operators land."""
+"""From `documents` to packed training sequences: language, lines, near copies, mix, packing.
 
+Each stage takes (spark, docs, sf_dir) and returns the documents that stay, with their columns; the last returns the
+packed pieces. Between stages the rows are written as Parquet to the shared folder and read again, so a lost executor
+costs a reread and no stage computes another one twice. A repeat of a document in the mix has a doc_id of its own row
+only by its text; pieces of repeats therefore carry the same doc_id.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillon.llm import common, language, lines, minhash, mixing, packing, queries
+
+#: Texts below this share of the posterior for their best language are rejected.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter and those in which no language has half of the posterior."""
+    common.ship_package(spark)
+    model = language.train(docs.filter(~language.held_out()))
+    return language.identify(docs, model, *docs.columns).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts later repeats of runs of three lines; a document that is all repeats goes."""
+    cut = lines.dedup_lines(docs, run=3)
+    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns)
+
+
+def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five-word shingles, similarity of 0.8 and more."""
+    common.ship_package(spark)
+    return minhash.dedup(docs, words=5, percent=80).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes whole epochs and a last partial one of each source, to weights 1, 2, 3 repeating."""
+    return mixing.mixed_documents(docs, weights=(1, 2, 3), cap=3.0).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs token sequences of 2048."""
+    common.ship_package(spark)
+    return packing.best_fit_pack(docs, queries.tokenizer_path(), capacity=2048, end_id=0)
+
+
+STAGES = [
+    ("language id", identify_language),
+    ("line dedup", dedup_lines),
+    ("minhash near-dedup", dedup_near_copies),
+    ("source mixing", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+
+#: Language scores and token ids have no SQL form; tests hold the stages against brute force instead.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; the packed pieces."""
+    docs = queries.documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = common.settle(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
