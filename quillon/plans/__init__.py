@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from quillon.plans import ledger  # noqa: F401
+from quillon.plans import ledger, records  # noqa: F401
