@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from quillon.plans import ledger, records, retrieval  # noqa: F401
+from quillon.plans import captures, ledger, records, retrieval  # noqa: F401
