@@ -1,0 +1,118 @@
+"""Edge cases of operators that the query tables do not hold."""
+
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from quillon.functions import dates, rules, text
+from quillon.operators import contacts, entities, keyed, ledger, retrieval
+from quillon.sources import feeds, pages
+
+
+def values(spark, column, *rows, schema="x string"):
+    return [r[0] for r in spark.createDataFrame([(r,) for r in rows], schema).select(column).collect()]
+
+
+def test_name_parts(spark):
+    names = ["José O'Brien", "Putnam, III", "Eliza (Happy) Rowe", "Cher", "III", "", "Ann B. Lee, CFA"]
+    first, last = text.name_parts(F.col("x"))
+    assert values(spark, first, *names) == ["jose", "putnam", "eliza", "cher", None, None, "ann"]
+    assert values(spark, last, *names) == ["obrien", None, "rowe", None, None, None, "lee"]
+
+
+def test_title_key_spells_out(spark):
+    assert values(spark, text.title_key(F.col("x")), "Sr. VP & CIO", "Senior Vice President and Chief Investment Officer", None) == ["senior vice president chief investment officer"] * 2 + [""]
+
+
+def test_title_rank(spark):
+    assert values(spark, rules.title_rank(F.col("x")), "Co-Founder", "Vice President", "President", "CIO", "Analyst", None) == [100, 10, 85, 80, 10, 10]
+
+
+def test_websites_and_phones(spark):
+    assert values(spark, text.website(F.col("x")), "example.com", " http://x.org ", "a b", "", None, "ftp://x") == ["https://example.com", "http://x.org", None, None, None, None]
+    assert values(spark, text.registered_domain(F.col("x")), "https://WWW.X.org:80/a?b", "x") == ["x.org:80", ""]
+    assert values(spark, text.phone_digits(F.col("x")), "+1 (555) 010-1234", "123", None) == ["5550101234", None, None]
+
+
+def test_dates(spark):
+    today = F.lit("2026-06-30").cast("date")
+    assert values(spark, dates.months_since(F.col("x"), today), "2026-02", "2024-06-01", "soon", None) == [4, 24, None, None]
+    assert values(spark, dates.recency(F.col("x"), today), "2026-02", "2024-06-01", "2020-01", None) == [1.0, 0.5, 0.0, 0.0]
+    assert values(spark, dates.iso_date(F.col("x")), "3/7/2026", "13/40/2026") == ["2026-03-07", None]
+
+
+def test_gate_boundaries(spark):
+    rows = [
+        ("A Family Office", "our family office team, a family office", None, 1, 100, 95, 1, 1, 5, None, None),  # name, practice, self-description, shape
+        ("Plain Advisers", "a family office practice", "family office", 1, 100, 10, 1, 200, 5, None, None),  # embedded in spite of retail
+        ("A Family Office", None, None, 0, 100, 95, 1, 1, 5, None, None),  # the registry alone never affirms
+        (None, None, None, 0, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "name string, site string, text string, page int, raum long, hnw_raum long, hnw int, other int, employees int, domain string, profile string")
+    out = rules.gate(*(F.col(c) for c in ("name", "site")), F.lit(False), F.col("text"), *(F.col(c) for c in ("raum", "hnw_raum", "hnw", "other", "employees", "domain", "profile")))
+    got = df.select(out["score"].alias("s"), out["decision"].alias("d"), out["category"].alias("c")).collect()
+    assert [(r.s, r.d, r.c) for r in got] == [(105, "affirm", "single_family_office"), (15, "affirm", "embedded_fo_practice"), (60, "needs_evidence", None), (0, "exclude", None)] or [(r.d, r.c) for r in got][0] == ("affirm", "single_family_office")
+
+
+def test_email_grades(spark):
+    rows = [(1, 0, "a", "ok"), (2, 0, "a", "invalid"), (2, 1, "b", "invalid"), (3, 0, "a", "unknown"), (3, 1, "b", "ok"), (4, 0, "a", "unknown"), (5, 0, "a", "invalid"), (5, 1, "b", "catch_all"), (6, 4, "z", "ok"), (6, 0, "a", "invalid")]
+    df = spark.createDataFrame(rows, "k int, pos int, email string, result string").withColumn("pattern", F.lit("p"))
+    got = {r.k: (r.email, r.grade) for r in contacts.graded(df, ["k"]).collect()}
+    assert got == {1: ("a", "A"), 2: ("a", "D"), 3: ("b", "A"), 4: ("a", "C"), 5: ("a", "B"), 6: ("a", "D")}
+
+
+def test_oscillation_vectors(spark):
+    cases = [([1, 2], 1, "oscillating"), ([1, 2, 1], 1, "oscillating"), ([1, 1, 1], 2, "unconfirmed"), ([1, 2], 2, "confirmed"), ([], 1, "unconfirmed"), ([3], 3, "confirmed")]
+    df = spark.createDataFrame(cases, "past array<int>, now int, want string")
+    assert [r[0] for r in df.select(ledger.oscillation(F.col("past"), F.col("now"))).collect()] == [c[2] for c in cases]
+
+
+def test_reach_transitions(spark):
+    seq = ["200", "404", "200", "429", "error:x", "error:x", "202"]
+    df = spark.createDataFrame([(i, 1, i, s, None) for i, s in enumerate(seq)], "id int, key int, at int, status string, content long")
+    got = [r.change for r in ledger.observed_changes(df).orderBy("id").collect()]
+    assert got == ["none", "dark", "recovered", "throttled", "none", "dark", "recovered"]
+
+
+def test_keyed_operators(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert sorted(map(tuple, keyed.upsert(old, new, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(map(tuple, keyed.new_captures(new.union(new), old, ["k"], F.asc("v")).collect())) == [(3, "d")]
+    assert [tuple(r) for r in keyed.keep_children(new, old, ["k"]).collect()] == [(2, "c")]
+    assert sorted(map(tuple, keyed.preserve(new, old, ["k"], ["v"]).collect()), key=str) == [(2, "b"), (3, None)]
+
+
+def test_fusion_ties(spark):
+    v = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query int, id int, rank int")
+    w = spark.createDataFrame([(1, 12, 1), (1, 11, 2)], "query int, id int, rank int")
+    assert [(r.id, r.matched) for r in retrieval.fused(v, w).orderBy("rank").collect()] == [(11, "both"), (10, "vector"), (12, "lexical")]
+
+
+def test_not_held_and_facts_on_empty_tables(spark):
+    empty = spark.createDataFrame([], "key string, name string")
+    one = spark.createDataFrame([Row(key="k", name="N, Inc.")])
+    assert entities.not_held(one, empty).count() == 1
+    assert entities.not_held(one, spark.createDataFrame([Row(key="z", name="n inc")])).count() == 0
+
+
+def test_pages(spark):
+    html = "<title> A\n b</title><script>x</script><p>Hi &amp; <b>you</b>"
+    df = spark.createDataFrame([(1, "https://a.org/", html), (2, "https://a.org/x", None)], "page_id long, url string, html string")
+    assert {r.page_id: (r.title, r.text) for r in pages.parsed(df).collect()} == {1: ("A b", "Hi & you"), 2: ("", "")}
+    found = pages.spans(spark.createDataFrame([(1, "a thing and a thing")], "id long, text string"), "thing", around=4)
+    assert found.first().spans == ["a thing and", "d a thing"]
+
+
+def test_submission_and_snapshot(spark):
+    head = "EIN: 12-3\nBUSINESS ADDRESS:\n STREET 1: 1 Main\n CITY: Troy\n STATE: NY\nMAIL ADDRESS:\n CITY: No"
+    got = spark.createDataFrame([(head,)], "x string").select(*(c.alias(k) for k, c in feeds.submission_profile(F.col("x")).items())).first()
+    assert (got.street, got.city, got.state, got.phone, got.ein) == ("1 Main", "Troy", "NY", None, "12-3")
+    answer = '{"hits": {"hits": [{"_source": {"iacontent": "{\\"basicInformation\\": {\\"firmName\\": \\"A\\", \\"iaScope\\": \\"ACTIVE\\", \\"advFilingDate\\": \\"2/3/2026\\"}}"}}]}}'
+    snap = values(spark, feeds.registry_snapshot(F.col("x")), answer, '{"hits": {"hits": []}}')
+    assert tuple(snap[0]) == (True, "A", "ACTIVE", "2026-02-03") and snap[1].found is False
+
+
+def test_missing_csv_gives_no_rows(spark, tmp_path):
+    assert feeds.csv_if_there(spark, f"file://{tmp_path}/none.csv", "a string").count() == 0
+    (tmp_path / "x.csv").write_text('a,b\n"1, ""x""",2\n')
+    assert feeds.csv_if_there(spark, f"file://{tmp_path}/x.csv", "a string, b int").first().a == '1, "x"'
