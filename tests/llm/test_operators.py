@@ -1,0 +1,274 @@
+"""Operators for training text on small tables: brute force, round trips, edge cases."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quillon.llm import anchors, language, lines, mixing, packing, quality, queries, substring, suffix, toxicity, vectors
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, size string, target int"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t) if t else None, "clash", 1) for i, t, s in rows], SHAPE)
+
+
+def passages(seed=1, n=40):
+    """Texts with shared passages, repeats inside a text, copies, and none."""
+    g = random.Random(seed)
+    word = lambda: "".join(g.choice("abcdeé") for _ in range(g.randint(1, 5)))
+    shared = [" ".join(word() for _ in range(k)) for k in (19, 20, 21, 60)]
+    rows = []
+    for _ in range(n):
+        parts = []
+        for _ in range(g.randint(0, 6)):
+            parts.append(g.choice(shared) if g.random() < 0.5 else " ".join(word() for _ in range(g.randint(1, 30))))
+        rows.append(g.choice([" ", "\n", "\t "]).join(parts))
+    rows += ["the the the " * 30, "", None, rows[0], rows[1], "x"]
+    return [(i, t, f"s{i % 3}") for i, t in enumerate(rows)]
+
+
+def brute_words(rows, w):
+    seen, out = set(), {}
+    for i, t, _ in rows:
+        ws = WORD.findall(t or "")
+        gone = set()
+        for j in range(len(ws) - w + 1):
+            key = tuple(ws[j : j + w])
+            gone |= set(range(j, j + w)) if key in seen else set()
+            seen.add(key)
+        out[i] = (len(ws), len(gone), " ".join(x for j, x in enumerate(ws) if j not in gone))
+    return out
+
+
+def brute_bytes(rows, w):
+    count, out = {}, {}
+    for _, t, _ in rows:
+        b = (t or "").encode()
+        for j in range(len(b) - w + 1):
+            count[b[j : j + w]] = count.get(b[j : j + w], 0) + 1
+    for i, t, _ in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for j in range(len(b) - w + 1):
+            if count[b[j : j + w]] > 1:
+                gone[j : j + w] = True
+        out[i] = (len(b), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), bytes(np.frombuffer(b, np.uint8)[~gone]))
+    return out
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_substrings(spark, monkeypatch, hot):
+    if hot:  # every anchor in two surroundings goes the way of the large groups
+        monkeypatch.setattr(anchors, "LOCAL_HOT", 0)
+        monkeypatch.setattr(anchors, "GROUP", 1)
+    rows = passages()
+    got = {r.doc_id: (r.n_units, sum(s.stop - s.start for s in r.spans), r.kept) for r in substring.dedup_substrings(docs(spark, rows).repartition(3), 20).collect()}
+    assert got == brute_words(rows, 20)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_bytes(spark, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(anchors, "LOCAL_HOT", 0)
+        monkeypatch.setattr(anchors, "GROUP", 1)
+    rows = passages(2)
+    got = {r.doc_id: (r.n_units, sum(s.stop - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in suffix.dedup_bytes(docs(spark, rows).repartition(3), 40).collect()}
+    assert got == brute_bytes(rows, 40)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    df = docs(spark, [(1, long, "a"), (1, long, "a"), (None, long, "a"), (2, None, None)])
+    first = sorted(((r.doc_id, len(r.kept.split())) for r in substring.dedup_substrings(df).collect()), key=str)
+    assert first == sorted([(1, 0), (1, 0), (None, 30), (2, 0)], key=str)
+    assert sorted(len(r.kept) for r in suffix.dedup_bytes(df, 40).collect()) == [0, 0, 0, 0]
+    for empty in (substring.dedup_substrings(df.limit(0)), suffix.dedup_bytes(df.limit(0))):
+        assert empty.count() == 0
+
+
+def test_suffix_order():
+    g = np.random.default_rng(0)
+    for _ in range(200):
+        s = g.integers(0, g.integers(1, 5), g.integers(1, 120))
+        assert suffix.suffix_order(s, 8).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+
+
+def test_queue_spills():
+    q = suffix.BucketQueue(3, limit=4)
+    for block in ([1, 2], [3, 4, 5], [6]):
+        q.push(1, np.array(block))
+    assert q.file is not None and q.pop(1).tolist() == [1, 2, 3, 4, 5, 6] and not len(q.pop(1))
+    q.close()
+
+
+def test_automaton():
+    a = substring.SuffixAutomaton()
+    a.add("abcab")
+    a.add("cabx")
+    assert list(a.matches("zcabxab")) == [0, 1, 2, 3, 4, 1, 2]
+
+
+def test_lines(spark):
+    block = "Alpha one\n\n beta  TWO\ngamma 3"
+    rows = [(3, block + "\nown", "a"), (1, "x\n" + block, "a"), (2, block, None), (4, None, "a"), (5, "", "a"), (6, "one\ntwo", "a"), (7, "one\ntwo", "a"), (None, block, "a"), (8, "p\nq\nr\ns\np\nq\nr", "a")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {None: (block, 4, 0), 1: ("x", 5, 4), 2: ("", 4, 4), 3: ("own", 5, 4), 4: (None, 0, 0), 5: ("", 1, 0), 6: ("one\ntwo", 2, 0), 7: ("one\ntwo", 2, 0), 8: ("p\nq\nr\ns", 7, 3)}
+    assert lines.dedup_lines(docs(spark, rows).limit(0)).count() == 0
+
+
+def test_quality_base_and_lines(spark):
+    many = ["abcdefgh"[i] + "x" * j for i in range(8) for j in range(60)]  # digits are evened out, letters are not
+    rows = [(i, f"Common line {i % 10} here\n" + " ".join(many[60 * i : 60 * i + 60]), "h") for i in range(8)] + [(20, "a b c a b c", "h"), (21, None, None), (22, "x y z " * 40, "h"), (23, "a#b $ c\n\nq\nq\n q", None)]
+    got = {r.doc_id: r for r in quality.quality(docs(spark, rows), limit=5).collect()}
+    assert got[0].n_frequent_words == 4 and got[0].kept and not got[0].base_failed
+    assert (got[20].n_words, got[20].n_repeat_words, got[20].base_failed) == (6, 6, True)
+    assert (got[21].n_words, got[21].word_chars, got[21].kept) == (0, 0, False)
+    assert (got[22].n_repeat_words, got[22].base_failed) == (120, True)
+    assert (got[23].n_symbols, got[23].n_dup_lines, got[23].word_chars) == (2, 1, 8)
+    assert quality.quality(docs(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 48])
+def test_repeat_words(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW", few)
+    g = random.Random(3)
+    rows = [(i, " ".join(g.choice("abc") for _ in range(g.randint(0, 40))), "h") for i in range(60)]
+    got = {r.doc_id: r.n_repeat_words for r in quality.quality(docs(spark, rows)).collect()}
+    for i, t, _ in rows:
+        ws, covered = t.split(), set()
+        tri = [tuple(ws[j : j + 3]) for j in range(len(ws) - 2)]
+        for j, x in enumerate(tri):
+            covered |= {j, j + 1, j + 2} if tri.count(x) > 1 else set()
+        assert got[i] == len(covered), t
+
+
+def test_mixing(spark):
+    g = random.Random(5)
+    rows = [(i, "w " * g.randint(0, 50), g.choice(["a", "b", "b", "b", "c", "É", None])) for i in range(300)] + [(300, None, "z"), (5, "again", "a")]
+    df = docs(spark, rows)
+    got = mixing.mix(df).toPandas()
+    by = got.groupby(got.source.fillna("~")).agg(size=("size", "sum"), taken=("taken", "sum"), target=("target", "first"))
+    total, weights = int(by["size"].sum()), {}
+    for k, s in enumerate(sorted(by.index, key=lambda s: (s == "~", s))):
+        weights[s] = k % 3 + 1
+    want, capped = {}, set()
+    while True:
+        level = (total - sum(3 * by["size"][s] for s in capped)) / sum(weights[s] for s in weights if s not in capped)
+        over = {s for s in weights if s not in capped and level * weights[s] > 3 * by["size"][s]}
+        if not over:
+            break
+        capped |= over
+    for s in weights:
+        want = 3 * by["size"][s] if s in capped else level * weights[s]
+        assert abs(by["target"][s] - want) < 1e-6 and by["taken"][s] == int(by["target"][s] + 1e-9)
+    assert (got.taken <= 3 * got["size"]).all()
+    assert sorted(map(tuple, got[["doc_id", "taken"]].fillna(-1).values.tolist())) == sorted(map(tuple, mixing.mix(df.repartition(5)).toPandas()[["doc_id", "taken"]].fillna(-1).values.tolist()))
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns
+    assert mixed.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == got.taken.sum()
+    assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    tok = Tokenizer.from_file(path)
+    g = random.Random(6)
+    rows = [(i, g.choice(["alpha ", "béta\n", "g  d "]) * g.randint(0, 90), "s") for i in range(80)] + [(80, None, "s"), (80, "twice", "s"), (None, "<|endoftext|> x", "s"), (81, "  \n x", "s")]
+    out = packing.best_fit_pack(docs(spark, rows), path, capacity=64, with_ids=True).toPandas()
+    pieces = {}
+    for i, t, _ in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        pieces.setdefault(-1 if i is None else i, []).append(ids)
+    for i, group in out.fillna({"doc_id": -1}).groupby("doc_id"):
+        if len(pieces[i]) == 1:
+            group = group.sort_values("piece")
+            assert [x for ids in group.ids for x in ids] == pieces[i][0] and list(group.start) == [0, *np.cumsum(group.length)[:-1]]
+            assert (group.length[1:] == 64).all()
+    assert all(zlib.crc32(np.array(x, "<u4").tobytes()) == c for x, c in zip(out.ids, out.ids_crc32))
+    spans = out.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    assert spans.length.sum().max() <= 64 and all((g.offset == np.concatenate([[0], np.cumsum(g.length)[:-1]])).all() for _, g in spans)
+    assert packing.best_fit_pack(docs(spark, rows).limit(0), path).count() == 0
+
+
+def test_packing_plan_uses_all_and_is_tight():
+    g = np.random.default_rng(1)
+    for _ in range(40):
+        counts = np.bincount(g.integers(1, 65, g.integers(0, 300)), minlength=65)
+        used = np.zeros(65, int)
+        for lengths, times in packing.plan(counts, 64):
+            assert sum(lengths) <= 64
+            for n in lengths:
+                used[n] += times
+        assert (used == counts).all()
+
+
+def test_language(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)]
+    df = spark.createDataFrame([*rows, (900, "12 34 !", "en"), (901, None, "en"), (902, "²", None), (903, "thedogs", None), (904, "A" * 5000, "de"), (None, "und die", "de")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.language_id(df).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows)
+    assert [got[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and got[903].lang_pred == "en" and got[None].lang_pred == "de"
+    assert all(0 <= r.score <= 1 and r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got.values())
+    assert {r.lang_pred for r in language.language_id(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert language.language_id(df.limit(0)).count() == 0
+
+
+def test_vectors(spark):
+    g = np.random.default_rng(8)
+    base = g.standard_normal((30, 16))
+    near = [base[i % 5] + g.standard_normal(16) * s for i in range(60) for s in (0.05, 0.3)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate([*base, *near])]
+    odd = [(500, None), (501, [0.0] * 16), (502, [1.0] * 15 + [None]), (503, [1.0] * 15 + [float("nan")]), (504, [float("inf")] * 16), (505, []), (506, rows[3][1]), (506, rows[3][1]), (None, rows[3][1]), (507, [1e300] * 16), (508, [1.0] * 8)]
+    df = spark.createDataFrame([*rows, *odd], "vec_id long, embedding array<double>")
+    out = vectors.near_duplicates(df, window=8, miss=1e-6).toPandas()
+    m = np.array([v for _, v in rows])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    like = (m @ m.T >= 0.9) & ~np.eye(len(m), dtype=bool)
+    got = out[out.vec_id < 500].set_index("vec_id")
+    for i in range(len(rows)):
+        assert got.n_links[i] == like[i].sum() + (3 if i == 3 or like[i][3] else 0), i
+    assert (out[out.vec_id.isin([500, 501, 502, 503, 504, 505])].n_links == 0).all()
+    assert out[out.vec_id.isin([500, 501, 505, 507, 508])].kept.all()
+    assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_toxicity(spark):
+    g = random.Random(9)
+    word = lambda: "".join(g.choice("abcdefgh") for _ in range(4))
+    rows, marks = [], []
+    for i in range(260):
+        ws = [word() for _ in range(g.randint(20, 150))]
+        bad = i % 3 == 0
+        if bad:
+            for _ in range(4):
+                ws[g.randrange(len(ws))] = g.choice(["zzvile", "zzvilest", "qqmean"])
+        rows.append((i, " ".join(ws), "s"))
+        marks.append((i, int(bad)))
+    rows += [(900, None, "s"), (901, "", "s"), (None, "zzvile " * 90, "s")]
+    labels = spark.createDataFrame([*marks, (None, 1), (7, None)], "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity.toxicity(docs(spark, rows), labels).collect()}
+    held = [(out[i].predicted, t) for i, t in marks if out[i].held_out]
+    assert sum(a == b for a, b in held) / len(held) > 0.85
+    assert out[900].score == out[901].score == 0 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out.values())
+    assert {r.score for r in toxicity.toxicity(docs(spark, rows), labels.limit(0)).collect()} == {0.0}
+
+
+def test_digest_of_queries_on_smallest_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text, r.source) for r in queries.documents(spark, sf).collect()]
+    want = brute_words(rows, 20)
+    for r in queries.QUERIES["op3_substring_dedup"](spark, sf).collect():
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (*want[r.doc_id][:2], hashlib.sha256(want[r.doc_id][2].encode()).hexdigest())
+    bytes_ = brute_bytes(rows, 400)
+    for r in queries.QUERIES["op5_suffix_array_dedup"](spark, sf).collect():
+        n, gone, spans, kept = bytes_[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, gone, spans, hashlib.sha256(kept).hexdigest())
