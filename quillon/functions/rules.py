@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values that results depend on.
@@ -39,29 +39,52 @@ def discovery_tier(name: Column, free_text: Column, share: Column, clients: Colu
     )
 
 
-def gate(name: Column, site: Column, fo_page: Column, free_text: Column, raum: Column, hnw_raum: Column, hnw: Column, other: Column, employees: Column, domain: Column, profile: Column) -> dict[str, Column]:
-    """The inclusion gate: evidence and contradictions as arrays of (rule, points), the score, decision and category."""
-    name, site, free_text, domain, profile = (F.coalesce(x, F.lit("")) for x in (name, site, free_text, domain, profile))
-    clients, share = zero(hnw) + zero(other), F.coalesce(ratio(hnw_raum, raum), F.lit(0.0))
-    by_name, practice, text = name.rlike(STRONG_NAME), site.rlike(SITE_PRACTICE) | F.coalesce(fo_page, F.lit(False)), free_text.rlike(FREE_TEXT)
-    selfdesc = F.regexp_count(site, F.lit(SITE_PHRASE)) >= 2
-    shape = (zero(raum) != 0) & (share >= MIX_SHARE) & (clients > 0) & (clients <= MIX_CLIENTS)
-    by_domain = F.contains(F.regexp_replace(domain, "-", ""), F.lit("familyoffice"))
-    by_profile = profile.rlike(SERVES_FAMILIES) & (practice | by_name | text)
-    institutional = (zero(raum) > 15_000_000_000) | (zero(employees) > 150)
-    retail = zero(other) > 100
-    rules = [("name_fo_strong", 40, by_name), ("site_fo_practice", 25, practice), ("site_fo_selfdesc", 20, selfdesc), ("adv_freetext_fo", 15, text), ("structural_fo_shape", 20, shape), ("domain_fo", 10, by_domain), ("silver_fo_desc", 10, by_profile)]
-    against = [("institutional_scale", -40, institutional), ("retail_scale", -25, retail)]
-    points = lambda some: sum((F.when(c, p).otherwise(0) for _, p, c in some), F.lit(0))
-    score = points(rules) + points(against)
-    core, published = by_name | practice | text | selfdesc, practice | selfdesc | by_domain | by_profile
-    affirmed_embedded = ~by_name & practice & text & ~institutional & (score + F.when(retail, 25).otherwise(0) >= EMBEDDED)
-    more = F.when(score >= MORE_EVIDENCE, "needs_evidence").otherwise("exclude")
-    decision = F.when(~published & core & (score >= MORE_EVIDENCE), "needs_evidence").when(~core, more).when(affirmed_embedded, "affirm").when(score >= AFFIRM, "affirm").otherwise(more)
-    single = name.rlike(ONE_FAMILY) | (by_name & (clients > 0) & (clients <= 2) & ~retail)
-    category = F.when(decision == "affirm", F.when(affirmed_embedded, "embedded_fo_practice").when(single, "single_family_office").otherwise("multi_family_office"))
-    listed = lambda some: F.filter(F.array(*(F.when(c, F.struct(F.lit(r).alias("rule"), F.lit(p).alias("points"))) for r, p, c in some)), lambda x: x.isNotNull())
-    return {"score": score, "decision": decision, "category": category, "evidence": listed(rules), "contradictions": listed(against)}
+RULES = {"name_fo_strong": 40, "site_fo_practice": 25, "site_fo_selfdesc": 20, "adv_freetext_fo": 15, "structural_fo_shape": 20, "domain_fo": 10, "silver_fo_desc": 10}
+AGAINST = {"institutional_scale": -40, "retail_scale": -25}
+
+
+def gate(firms: DataFrame) -> DataFrame:
+    """The inclusion gate over firms (name, site, fo_page, free_text, raum, hnw_raum, hnw, other, employees, domain, profile).
+
+    Adds share, score, decision, category, and evidence and contradictions as arrays of (rule, points). The tests are
+    columns of their own first, so that each is computed once, however often the ladder refers to it.
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    share, clients = ratio(F.col("hnw_raum"), F.col("raum")), zero(F.col("hnw")) + zero(F.col("other"))
+    basic = firms.withColumns({
+        "share": share, "#clients": clients,
+        "name_fo_strong": text("name").rlike(STRONG_NAME),
+        "site_fo_practice": text("site").rlike(SITE_PRACTICE) | F.coalesce("fo_page", F.lit(False)),
+        "site_fo_selfdesc": F.regexp_count(text("site"), F.lit(SITE_PHRASE)) >= 2,
+        "adv_freetext_fo": text("free_text").rlike(FREE_TEXT),
+        "domain_fo": F.contains(F.regexp_replace(text("domain"), "-", ""), F.lit("familyoffice")),
+        "institutional_scale": (zero(F.col("raum")) > 15_000_000_000) | (zero(F.col("employees")) > 150),
+        "retail_scale": zero(F.col("other")) > 100,
+        "#one_family": text("name").rlike(ONE_FAMILY),
+    })
+    few = (F.col("#clients") > 0) & (F.col("#clients") <= MIX_CLIENTS)
+    named = F.col("site_fo_practice") | F.col("name_fo_strong") | F.col("adv_freetext_fo")
+    tested = basic.withColumns({
+        "structural_fo_shape": (zero(F.col("raum")) != 0) & (F.coalesce("share", F.lit(0.0)) >= MIX_SHARE) & few,
+        "silver_fo_desc": text("profile").rlike(SERVES_FAMILIES) & named,
+    })
+    c = F.col
+    scored = tested.withColumn("score", sum((F.when(c(r), p).otherwise(0) for r, p in (RULES | AGAINST).items()), F.lit(0)))
+    core = c("name_fo_strong") | c("site_fo_practice") | c("adv_freetext_fo") | c("site_fo_selfdesc")
+    published = c("site_fo_practice") | c("site_fo_selfdesc") | c("domain_fo") | c("silver_fo_desc")
+    net = c("score") + F.when(c("retail_scale"), -AGAINST["retail_scale"]).otherwise(0)
+    embedded = ~c("name_fo_strong") & c("site_fo_practice") & c("adv_freetext_fo") & ~c("institutional_scale") & (net >= EMBEDDED)
+    enough = c("score") >= MORE_EVIDENCE
+    step = F.when(~published & core & enough, "hold").when(~core, "weak").when(embedded, "embedded").when(c("score") >= AFFIRM, "affirm").otherwise("weak")
+    stepped = scored.withColumn("#step", step)
+    single = c("#one_family") | (c("name_fo_strong") & (c("#clients") > 0) & (c("#clients") <= 2) & ~c("retail_scale"))
+    listed = lambda some: F.filter(F.array(*(F.when(c(r), F.struct(F.lit(r).alias("rule"), F.lit(p).alias("points"))) for r, p in some.items())), lambda x: x.isNotNull())
+    return stepped.select(
+        *firms.columns, "share", "score",
+        F.when(c("#step").isin("embedded", "affirm"), "affirm").when((c("#step") == "hold") | enough, "needs_evidence").otherwise("exclude").alias("decision"),
+        F.when(c("#step") == "embedded", "embedded_fo_practice").when((c("#step") == "affirm") & single, "single_family_office").when(c("#step") == "affirm", "multi_family_office").alias("category"),
+        listed(RULES).alias("evidence"), listed(AGAINST).alias("contradictions"),
+    )
 
 
 def release_band(decision: Column, score: Column, share: Column, other: Column) -> dict[str, Column]:

@@ -76,10 +76,7 @@ def firms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gated(spark: SparkSession, sf: str) -> DataFrame:
-    f = firms(spark, sf)
-    out = rules.gate(*(F.col(c) for c in ("name", "site", "fo_page", "free_text", "raum", "hnw_raum", "hnw", "other", "employees", "domain", "profile")))
-    share = rules.ratio(F.col("hnw_raum"), F.col("raum"))
-    scored = f.select("*", *(v.alias(k) for k, v in out.items()), share.alias("share"))
+    scored = rules.gate(firms(spark, sf))
     return scored.withColumns(rules.release_band(F.col("decision"), F.col("score"), F.col("share"), F.col("other")))
 
 
