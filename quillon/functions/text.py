@@ -88,9 +88,9 @@ def emails_in(text: Column) -> Column:
 
 
 def money_words(amount: Column) -> Column:
-    """$1.2B, $3.4M or $5 from whole dollars."""
+    """$1.2B, $3.4M or $5 from whole dollars; null stays null."""
     return (
         F.when(amount >= 1_000_000_000, F.format_string("$%.1fB", amount / 1e9))
         .when(amount >= 1_000_000, F.format_string("$%.1fM", amount / 1e6))
-        .otherwise(F.format_string("$%d", amount))
+        .when(amount.isNotNull(), F.format_string("$%d", amount))
     )
