@@ -20,6 +20,8 @@ from quillon.llm.graph import components
 
 #: A pair of similarity s shares a table with probability (1 - (1 - s**ROWS)**SIDE)**2: 0.997 at 0.8, 0.99998 at 0.9.
 SIDE, ROWS = 9, 3
+#: Members of one group that are compared pair by pair come in blocks of about so many.
+BLOCK = 256
 _draw = np.random.default_rng(77)
 _FACTORS = _draw.integers(1, 2**63, 2 * SIDE * ROWS, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _SHIFTS = _draw.integers(1, 2**63, 2 * SIDE * ROWS, dtype=np.int64).astype(U64)
@@ -80,6 +82,66 @@ def _sets(words: int):
     return run
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Size of the intersection of each set of a with each of b: products of 0/1 matrices over stretches of hashes."""
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b)]
+    one, two = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    shared = np.intersect1d(one, two)
+    out = np.zeros((len(a), len(b)), np.float32)
+    at = [np.searchsorted(shared, x) for x in (one, two)]
+    held = [(k < len(shared)) & (shared[np.minimum(k, len(shared) - 1)] == x) if len(shared) else np.zeros(len(x), bool) for k, x in zip(at, (one, two))]
+    for lo in range(0, len(shared), columns):
+        parts = []
+        for k, has, row, n in zip(at, held, rows, out.shape):
+            mine = has & (k >= lo) & (k < lo + columns)
+            dense = np.zeros((n, columns), np.float32)
+            dense[row[mine], k[mine] - lo] = 1
+            parts.append(dense)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _compare(percent: int):
+    """Of two blocks of one group: links that join members of different components, none that follows from the others."""
+
+    def run(table: pa.Table) -> pa.Table:
+        low = table.column("block").to_numpy() == table.column("lo")[0].as_py()
+        inner = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
+        lists = table.column("set").combine_chunks()
+        flat, edges = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        pick = lambda at: [flat[edges[i] : edges[i + 1]] for i in at]
+        a = np.flatnonzero(low)
+        b = a if inner else np.flatnonzero(~low)
+        node, label, size = table.column("node").to_numpy(), table.column("label").to_numpy(), np.diff(edges)
+        both = overlaps(pick(a), pick(b))
+        i, j = np.nonzero((100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)) & (label[a][:, None] != label[b][None, :]))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for s, t in zip(a[i].tolist(), b[j].tolist()):
+            x, y = find(label[s].item()), find(label[t].item())
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((node[s], node[t]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside each group of candidates (node, label, group, set), block by block."""
+    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = paired.select("group", "node", "label", "set", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    return paired.groupBy("group", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose full sets overlap enough: 100 * |both| >= percent * |either|."""
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
@@ -95,9 +157,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     words, of a shorter text the whole sequence. Documents are linked if 100 * |both| >= percent * |either|;
     component_id is the smallest doc_id reachable. Texts without words, and null texts, are linked with nothing.
 
-    Equal sets are joined first. Within a table key, members are compared with one pivot (the least, then in a second
-    round the greatest); only members that then still lie in different components are compared pair by pair, so a
-    group of copies costs its size, not its square, and no link between components is lost. Rows that repeat a doc_id
+    Equal sets are joined first. Within a table key, members are compared with the least of them. Keys whose members
+    then still lie in different components form groups, and those are compared whole, in blocks that pass on only links
+    between components: no pair is written out that is not such a link, and no link between components is lost. Rows that repeat a doc_id
     are told apart by their text; a null doc_id counts as larger than all others. An empty table gives no rows.
     """
     keys = [f"k{i}" for i in range(2 * SIDE)]
@@ -108,7 +170,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = settle(full.groupBy("set1", "set2").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"), *(F.min(k).alias(k) for k in keys)))
     tables = F.array(*(F.xxhash64(F.lit(i * SIDE + j), keys[i], keys[SIDE + j]) for i in range(SIDE) for j in range(SIDE)))
     rows = classes.select(F.col("set1").alias("node"), F.explode(tables).alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").drop("most")
     members = settle(rows.join(shared, "key"))
     needed = members.select("node").distinct()
     wanted = classes.join(needed, classes["set1"] == needed["node"]).select("first_id").distinct()
@@ -124,19 +186,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     star = members.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     links = settle(_confirm(like_sized(star), sets, percent))
     labels = components(links)
-    for last in (False, True):
-        at = settle(members.join(labels, "node", "left").select("key", "node", "most", F.coalesce("label", "node").alias("label")))
-        apart = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        if apart.isEmpty():
-            break
-        open_ = at.join(apart, "key")
-        one = open_.select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
-        two = (open_ if last else open_.filter("node = most")).select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-        across = one.join(two, "key").filter("label_a <> label_b" + " and a < b" * last).select("a", "b").distinct()
-        more = settle(_confirm(like_sized(across), sets, percent))
+    at = settle(members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    apart = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("b"), F.count("*").alias("n"))
+    open_ = at.join(apart.filter("lo < hi and n > 2").select("key", "b"), "key")  # of two members the pair is settled
+    if not open_.isEmpty():
+        groups = components(open_.select(F.col("node").alias("a"), "b"))
+        labelled = open_.select("node", "label").distinct().join(groups.withColumnRenamed("label", "group"), "node")
+        more = settle(_across(labelled.join(sets, "node"), percent))
         if not more.isEmpty():
-            links = settle(links.unionByName(more))
-            labels = components(links)
+            labels = components(links.unionByName(more))
     joined = classes.join(labels, classes["set1"] == labels["node"], "left").select("set1", "set2", "first_id", F.coalesce("label", "set1").alias("label"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_class = joined.join(least, "label").select("set1", "set2", "component_id")
