@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import dates, search
-from quillon.functions.rules import ratio  # noqa: F401  (part of this module's interface)
 from quillon.functions.text import emails_in
 from quillon.functions.vectors import cosine_distance, doubles
 from quillon.operators.keyed import first_rows
