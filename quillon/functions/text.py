@@ -84,7 +84,9 @@ def phone_digits(phone: Column) -> Column:
 
 
 def emails_in(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)), F.lower)
+    """Addresses in a text, in lower case; the pattern is only tried where there is an @ at all."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)), F.lower)
+    return F.when(F.contains(text, F.lit("@")), found).otherwise(F.array().cast("array<string>"))
 
 
 def money_words(amount: Column) -> Column:

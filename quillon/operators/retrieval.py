@@ -32,7 +32,14 @@ def dense(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
 
 def lexical(docs: DataFrame, queries: dict[int, list[str]], n: int = POOL) -> DataFrame:
     """(query, id, score, rank) of documents (id, text) that hold all terms of a query."""
-    words = docs.select("id", F.explode(F.array(search.terms(F.col("text")))).alias("ws"))
+    # A term that is not even a substring is no term: most texts are passed over before they are cut into words.
+    low, possible = F.lower("text"), F.lit(False)
+    for terms in queries.values():
+        every = F.lit(True)
+        for term in terms:
+            every = every & F.contains(low, F.lit(term))
+        possible = possible | every
+    words = docs.filter(possible).select("id", F.explode(F.array(search.terms(F.col("text")))).alias("ws"))
     found = []
     for q, terms in queries.items():
         every, score = search.match_score(F.col("ws"), terms)

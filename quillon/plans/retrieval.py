@@ -30,7 +30,7 @@ TERMS = {1: ["thing", "here"], 2: ["die", "und"], 3: ["tion"], 5: ["and", "thin"
 _QUERIES = " union all ".join(f"select {q} as query, [{', '.join(repr(t) for t in ts if t not in search.STOPWORDS)}] as ts" for q, ts in TERMS.items())
 LEXICAL_SQL = f"""w as (select doc_id as id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '' and not list_contains([{', '.join(map(repr, search.STOPWORDS))}], x)) as ws from documents),
 lq as ({_QUERIES}), ls as (select query, id, list_transform(ts, lambda t: len(list_filter(ws, lambda x: x = t))) as ns from w, lq),
-l as (select query, id, row_number() over (partition by query order by list_sum(list_transform(ns, lambda n: 1 + ln(n::double))) desc, id) as rank from ls where list_min(ns) > 0 qualify rank <= 20)"""
+l as (select query, id, row_number() over (partition by query order by list_aggregate(ns, 'product') desc, id) as rank from ls where list_min(ns) > 0 qualify rank <= 20)"""
 
 
 def lexical(spark, sf):
