@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import U64, mix, prefix_hash, span_hash
+from quillon.llm.common import U64, mix, prefix_hash, slices, span_hash
 from quillon.llm.language import held_out
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, INPUT, ATTENTION = 8, 12, 8
 BUCKETS = 1 << 14
 VOCABULARY = 8192
-CACHE = 300_000
+CACHE = 120_000
 _EDGE = ".,;:!?\"'()[]{}|*#$%&<>-"
 
 
@@ -352,16 +352,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            texts, out = batch.column(2).to_pylist(), []
-            a = size = 0
-            for b, text in enumerate(texts, 1):
-                size += len(text or "")
-                if size > 1 << 20 or b == len(texts):
-                    out.append(scorer(texts[a:b]))
-                    a, size = b, 0
-            scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 20):
+                scores = scorer(batch.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
