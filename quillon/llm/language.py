@@ -14,10 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from quillon.llm.common import settle, slices
 
 #: Runs of letters, with the few number signs that regular expressions count as letters; those are dropped later.
 _RUN = re.compile(r"[^\W\d_]+")
-CACHE = 300_000
+CACHE = 150_000
 
 
 def words(text: str) -> list[str]:
@@ -39,21 +42,21 @@ def grams(word: str, longest: int) -> Iterator[tuple[int, list[str]]]:
 
 
 class Model:
-    """Log frequencies per language; plain dictionaries of small arrays, so that it can be sent to tasks."""
+    """Log frequencies per language: of each length (0: whole words) the rows of known grams and a matrix of scores."""
 
-    def __init__(self, langs: list[str], tables: list[dict[str, np.ndarray]], longest: int):
-        self.langs, self.tables, self.longest = langs, tables, longest
+    def __init__(self, langs: list[str], rows: list[dict[str, int]], scores: list[np.ndarray], longest: int):
+        self.langs, self.rows, self.scores, self.longest = langs, rows, scores, longest
 
     def score(self, word: str) -> np.ndarray:
         """Log probability of a word in each language, up to a constant; zeros if nothing of it was ever seen."""
         word = letters(word)
         if not word:
             return np.zeros(len(self.langs))
-        if (known := self.tables[0].get(word)) is not None:
-            return known
+        if (known := self.rows[0].get(word)) is not None:
+            return self.scores[0][known]
         for n, parts in grams(word, self.longest):
-            if hits := [x for x in map(self.tables[n].get, parts) if x is not None]:
-                return np.mean(hits, axis=0)
+            if hits := [x for x in map(self.rows[n].get, parts) if x is not None]:
+                return self.scores[n][hits].mean(axis=0)
         return np.zeros(len(self.langs))
 
 
@@ -73,10 +76,10 @@ class _Rows(dict):
         return row
 
 
-def train(docs: DataFrame, sample: int = 20_000, vocabulary: int = 30_000, longest: int = 5) -> Model:
+def train(docs: DataFrame, sample: int = 20_000, vocabulary: int = 30_000, parts: int = 8_000, longest: int = 5) -> Model:
     """Learn from rows with a text and a lang, on at most about `sample` of them, chosen by a hash of the text.
 
-    The bound is documented: the model's tables hold at most `vocabulary` words and as many n-grams of each length for
+    The bound is documented: the model's tables hold at most `vocabulary` words and `parts` n-grams of each length for
     each language, so beyond some thousand texts a language more rows change little. Counting is distributed; only the
     bounded tables reach the driver.
     """
@@ -92,33 +95,39 @@ def train(docs: DataFrame, sample: int = 20_000, vocabulary: int = 30_000, longe
                 found.setdefault(lang, Counter()).update(words(text))
         rows = []
         for lang, counts in found.items():
-            parts: Counter = Counter()
+            tally: Counter = Counter()
             for word, n in counts.items():
                 if word := letters(word):
-                    parts[0, word] += n
+                    tally[0, word] += n
                     for k, gs in grams(word, longest):
                         for g in gs:
-                            parts[k, g] += n
-            rows += [(lang, k, g, n) for (k, g), n in parts.items()]
+                            tally[k, g] += n
+            rows += [(lang, k, g, n) for (k, g), n in tally.items()]
         cols = list(zip(*rows)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], ["lang", "k", "gram", "n"])
 
-    counted = usable.mapInArrow(count, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
+    counted = settle(usable.mapInArrow(count, "lang string, k int, gram string, n long").groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
     sums = {(r["lang"], r["k"]): r["n"] for r in counted.groupBy("lang", "k").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for lang, _ in sums})
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(longest + 1)]
+    rows: list[dict[str, int]] = [{} for _ in range(longest + 1)]
+    scores = [np.zeros((0, len(langs)), np.float32)] * (longest + 1)
     if langs:
-        seen: list[dict[str, dict[str, int]]] = [{} for _ in range(longest + 1)]
         from pyspark.sql import Window
 
-        top = counted.filter("n > 1").withColumn("nth", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).filter(F.col("nth") <= vocabulary)
-        for r in top.toLocalIterator():
-            seen[r["k"]].setdefault(r["gram"], {})[r["lang"]] = r["n"]
-        for k, grams_of in enumerate(seen):
+        cells: list[list[tuple[int, int, int]]] = [[] for _ in rows]
+        most = F.when(F.col("k") == 0, vocabulary).otherwise(parts)
+        top = counted.filter("n > 1").withColumn("nth", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).filter(F.col("nth") <= most)
+        of_lang = {lang: i for i, lang in enumerate(langs)}
+        for r in top.select("lang", "k", "gram", "n").toLocalIterator():
+            cells[r["k"]].append((rows[r["k"]].setdefault(r["gram"], len(rows[r["k"]])), of_lang[r["lang"]], r["n"]))
+        for k, found in enumerate(cells):
+            counts = np.zeros((len(rows[k]), len(langs)))
+            if found:
+                at, lang, n = np.array(found).T
+                counts[at, lang] = n
             of = np.array([sums.get((lang, k), 0) for lang in langs], dtype=float)
-            for gram, n in grams_of.items():
-                tables[k][gram] = np.log((np.array([n.get(lang, 0) for lang in langs]) + 0.1) / (of + 0.1 * len(grams_of)))
-    return Model(langs, tables, longest)
+            scores[k] = np.log((counts + 0.1) / (of + 0.1 * max(1, len(rows[k])))).astype(np.float32)
+    return Model(langs, rows, scores, longest)
 
 
 def identify(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:
@@ -129,28 +138,31 @@ def identify(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:
     change nothing.
     """
     kept = docs.select(*keep)
-    shaped = docs.select(*keep, F.col("text").alias("#text"))
-    schema = kept.schema.add("lang_pred", "string").add("score", "double")
+    own = "text" in kept.columns  # then the text goes to the workers only once
+    shaped = kept if own else docs.select(*keep, F.col("text").alias("#text"))
+    text_column = "text" if own else "#text"
+    schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by vocabulary, n-gram lengths and languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _Rows(shared.value)
         names = np.array([*shared.value.langs, "und"], dtype=object)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            picks, scores = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
-            for i, text in enumerate(texts):
-                found = words(text) if text and len(names) > 1 else ()
-                if not found or not any(map(str.isalpha, text if len(text) < 64 else found)) and not any(map(letters, found)):
-                    continue
-                if len(rows) > CACHE:
-                    rows = _Rows(shared.value)
-                at = np.array(list(map(rows.__getitem__, found)))
-                total = rows.matrix[at].sum(axis=0)
-                picks[i] = best = int(np.argmax(total))
-                scores[i] = 1 / np.exp(np.maximum(total - total[best], -700)).sum()
-            columns = [batch.column(j) for j in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names[picks], pa.string()), pa.array(scores)], schema.names)
+        for whole in batches:
+            for batch in slices(whole, text_column, 1 << 20):
+                texts = batch.column(text_column).to_pylist()
+                picks, scores = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+                for i, text in enumerate(texts):
+                    found = words(text) if text and len(names) > 1 else ()
+                    if not any(map(letters, found)):
+                        continue
+                    if len(rows) > CACHE:
+                        rows = _Rows(shared.value)
+                    at = np.array(list(map(rows.__getitem__, found)))
+                    total = rows.matrix[at].sum(axis=0)
+                    picks[i] = best = int(np.argmax(total))
+                    scores[i] = 1 / np.exp(np.maximum(total - total[best], -700)).sum()
+                columns = [batch.column(j) for j in range(batch.num_columns - (not own))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(names[picks], pa.string()), pa.array(scores)], schema.names)
 
     return shaped.mapInArrow(run, schema)
 
