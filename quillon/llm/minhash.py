@@ -20,6 +20,8 @@ from quillon.llm.graph import components
 
 #: A pair of similarity s shares a table with probability (1 - (1 - s**ROWS)**SIDE)**2: 0.997 at 0.8, 0.99998 at 0.9.
 SIDE, ROWS = 9, 3
+#: Bytes of text that a worker hashes at once.
+SLICE = 1 << 20
 #: Members of one group that are compared pair by pair come in blocks of about so many.
 BLOCK = 256
 _draw = np.random.default_rng(77)
@@ -57,7 +59,7 @@ def _per_text(hashes: np.ndarray, edges: np.ndarray, how) -> np.ndarray:
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 hashes, edges = shingle_sets(batch.column(1), words)
                 least = np.stack([_per_text(hashes * a + b, edges, np.minimum) for a, b in zip(_FACTORS, _SHIFTS)])
                 keys = least[::ROWS].copy()
@@ -73,7 +75,7 @@ def _signatures(words: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 hashes, edges = shingle_sets(batch.column(0), words)
                 ids = _per_text(mix(hashes), edges, np.add).view(np.int64)
                 lists = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(hashes.view(np.int64))).cast(pa.list_(pa.int64()))
