@@ -25,8 +25,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts later repeats of runs of three lines; a document that is all repeats goes."""
-    cut = lines.dedup_lines(docs, run=3)
+    """Cuts later repeats of runs of three lines, of shorter runs of over 50 words, and of whole texts of one or two lines.
+
+    A document that is all repeats goes.
+    """
+    cut = lines.dedup_lines(docs, run=3, long_words=50)
     return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns)
 
 

@@ -13,12 +13,16 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def line_windows(docs: DataFrame, run: int) -> DataFrame:
+def line_windows(docs: DataFrame, run: int, long_words: int | None = None) -> DataFrame:
     """(doc_id, mark, first, last, print, at, content): each window of `run` lines that are not blank, its fingerprint and its hash.
 
     The fingerprint is the least line hash of the window, the guarantee of winnowing: equal windows have equal
     fingerprints at equal places. first and last are line numbers of the text; at is the number of the fingerprint's line.
+    With long_words also each shorter window that holds more than so many words, and each text of fewer than `run` lines
+    as a whole; whole texts of no more words have hashes of their own, so that they meet only each other.
     """
+    if long_words is not None:
+        return _all_windows(docs, run, long_words)
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.xxhash64(normal_line(x)).alias("h"), i.alias("i"), (normal_line(x) != "").alias("full"))), lambda x: x["full"])
     # explode() of one element: the array is computed once, not once for each use below.
     hashed = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.explode(F.array(lines)).alias("ls")).filter(F.size("ls") >= run)
@@ -28,17 +32,32 @@ def line_windows(docs: DataFrame, run: int) -> DataFrame:
     return each.select("doc_id", "mark", F.col("w")[0]["i"].alias("first"), F.col("w")[run - 1]["i"].alias("last"), least["h"].alias("print"), least["i"].alias("at"), F.xxhash64(*(F.col("w")[j]["h"] for j in range(run))).alias("content"))
 
 
-def dedup_lines(docs: DataFrame, run: int = 3) -> DataFrame:
+def _all_windows(docs: DataFrame, run: int, long_words: int) -> DataFrame:
+    parts = lambda x, i: F.struct(F.xxhash64(x).alias("h"), i.alias("i"), F.when(x == "", 0).otherwise(F.size(F.split(x, " "))).alias("n"))
+    lines = F.filter(F.transform(F.transform(F.split("text", "\n"), normal_line), parts), lambda x: x["n"] > 0)
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.explode(F.array(lines)).alias("ls")).filter(F.size("ls") > 0)
+    words = "aggregate(w, 0L, (a, x) -> a + x.n)"
+    of = lambda k: f"if(size(ls) < {k}, slice(array(ls), 1, 0), transform(sequence(0, greatest(0, size(ls) - {k})), i -> slice(ls, i + 1, {k})))"
+    short = [f"filter({of(k)}, w -> size(ls) = {k} or {words} > {long_words})" for k in range(1, run)]
+    each = hashed.select("doc_id", "mark", F.explode(F.expr(f"concat({', '.join([of(run), *short])})")).alias("w"))
+    least = F.array_min(F.transform("w", lambda x: F.struct(x["h"], x["i"])))
+    whole = (F.size("w") < run) & (F.expr(words) <= long_words)
+    content = F.xxhash64(whole, F.transform("w", lambda x: x["h"]))
+    return each.select("doc_id", "mark", F.col("w")[0]["i"].alias("first"), F.element_at("w", -1)["i"].alias("last"), least["h"].alias("print"), least["i"].alias("at"), content.alias("content"))
+
+
+def dedup_lines(docs: DataFrame, run: int = 3, long_words: int | None = None) -> DataFrame:
     """Delete later repeats of runs of at least `run` lines; returns the columns of docs with text cut, and n_lines, n_removed.
 
     A line goes if it lies in `run` consecutive lines (blank ones skipped) whose sequence, in lower case and with white
     space evened out, also starts earlier: in a smaller doc_id, or earlier in the same document. Windows are judged on
     the input. Winnowing keeps one fingerprint for each window; only windows whose fingerprint is selected at two or
     more places are extended to their whole content and compared, and overlapping repeats join to maximal runs. Blank
-    lines inside a deleted run go with it. Rows that share doc_id and text are one document; rows that share only the
+    lines inside a deleted run go with it. With long_words, shorter runs that hold more than so many words go too where they
+    start again, and texts of fewer than `run` lines that are, as a whole, such an earlier text. Rows that share doc_id and text are one document; rows that share only the
     doc_id are told apart. A null text stays null; a null doc_id comes before all others. n_chars follows the text.
     """
-    windows = settle(line_windows(docs, run))
+    windows = settle(line_windows(docs, run, long_words))
     places = windows.select("doc_id", "mark", "print", "at").distinct().groupBy("print").count().filter("count > 1").select("print")
     extended = windows.join(places, "print")
     place = F.struct(F.col("doc_id"), F.col("mark"), F.col("first"))

@@ -302,3 +302,12 @@ def test_vectors_of_clustered_tables_in_many_partitions(spark, monkeypatch, way)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     lost = [i for i in range(len(v)) if got[i] != like[i].sum()]
     assert not lost and (way == "exact" or seen[0][0] > 1)
+
+
+def test_lines_of_short_texts_and_long_passages(spark):
+    """Repeats on one or two lines: passages of over 50 words, and whole texts; short lines elsewhere stay."""
+    one, half = " ".join(f"w{i}" for i in range(60)), [" ".join(f"{c}{i}" for i in range(26)) for c in "uv"]
+    rows = [(1, f"intro\n{one}\nmore\nlast", "a"), (2, one.upper(), "a"), (3, f"other\n{one}", "a"), (4, "\n\n".join(half), "a"), (5, "x\n" + "\n".join(half) + "\ny", "a")]
+    rows += [(6, "one\ntwo", "a"), (7, "One\n\n two", "a"), (8, "one", "a"), (9, "one\nthree", "a"), (10, half[0], "a"), (11, half[0] + "\nz", "a"), (12, "", "a"), (13, None, "a"), (14, "p\nq\nr\np\nq\nr", "a"), (None, "one", "a")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(docs(spark, rows), long_words=50).collect()}
+    assert got == {**{i: (t, 0) for i, t, _ in rows}, 2: ("", 1), 3: ("other", 1), 5: ("x\ny", 2), 7: ("", 3), 8: ("", 1), 14: ("p\nq\nr", 3)}
