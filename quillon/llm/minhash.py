@@ -56,7 +56,7 @@ def _per_text(hashes: np.ndarray, edges: np.ndarray, how) -> np.ndarray:
     return out
 
 
-def _signatures(words: int):
+def _signatures(words: int, keep: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
@@ -66,8 +66,8 @@ def _signatures(words: int):
                 for r in range(1, ROWS):
                     keys = mix(keys) * U64(0x9E3779B97F4A7C15) + least[r::ROWS]
                 columns = [batch.column(0), pa.array(np.diff(edges)), *(pa.array(_per_text(x, edges, np.add).view(np.int64)) for x in (mix(hashes), mix(hashes * _FACTORS[0])))]
-                columns += [pa.array(mix(k).view(np.int64)) for k in keys]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set1", "set2", *(f"k{i}" for i in range(2 * SIDE))])
+                columns += [pa.array(mix(k).view(np.int64)) for k in keys] + [batch.column(c) for c in keep]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set1", "set2", *(f"k{i}" for i in range(2 * SIDE)), *keep])
 
     return run
 
@@ -164,10 +164,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     between components: no pair is written out that is not such a link, and no link between components is lost. Rows that repeat a doc_id
     are told apart by their text; a null doc_id counts as larger than all others. An empty table gives no rows.
     """
+    out = _judged(docs, words, percent)
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def _judged(docs: DataFrame, words: int, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id, label of each row, and its long columns to keep; label tells components apart."""
     keys = [f"k{i}" for i in range(2 * SIDE)]
     kind = dict(docs.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, n_shingles long, set1 long, set2 long, " + ", ".join(f"{k} long" for k in keys)
-    signed = settle(docs.select("doc_id", "text").mapInArrow(_signatures(words), shape))
+    shape = f"doc_id {kind}, n_shingles long, set1 long, set2 long, " + ", ".join(f"`{k}` long" for k in [*keys, *keep])
+    signed = settle(docs.select("doc_id", "text", *keep).mapInArrow(_signatures(words, keep), shape))
     full = signed.filter("n_shingles > 0")
     classes = settle(full.groupBy("set1", "set2").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"), *(F.min(k).alias(k) for k in keys)))
     tables = F.array(*(F.xxhash64(F.lit(i * SIDE + j), keys[i], keys[SIDE + j]) for i in range(SIDE) for j in range(SIDE)))
@@ -199,16 +206,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             labels = components(links.unionByName(more))
     joined = classes.join(labels, classes["set1"] == labels["node"], "left").select("set1", "set2", "first_id", F.coalesce("label", "set1").alias("label"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_class = joined.join(least, "label").select("set1", "set2", "component_id")
-    out = signed.select("doc_id", "n_shingles", "set1", "set2").join(of_class, ["set1", "set2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    of_class = joined.join(least, "label").select("set1", "set2", "component_id", "label")
+    out = signed.select("doc_id", "n_shingles", "set1", "set2", *keep).join(of_class, ["set1", "set2"], "left")
+    return out.select("doc_id", "n_shingles", "component_id", "label", *keep)
 
 
 def dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay: of each group of near copies the one with the smallest doc_id.
 
-    Rows that repeat a doc_id are one document here; one of them stays.
+    Rows are told apart by doc_id and text. Those that share both are one document; different texts that share a doc_id,
+    or have none, all stay unless they are copies of a kept one. Of a group with several texts of its smallest doc_id the
+    one with the least hash stays. A text without words stays, unless its doc_id is that of a text with words that stays.
     """
-    stay = near_duplicates(docs, words, percent).filter("kept").select("doc_id").distinct()
-    return match(docs, stay, ["doc_id"]).dropDuplicates(["doc_id"])
+    marked = docs.withColumn("#mark", F.xxhash64("text"))
+    rows = settle(_judged(marked, words, percent, ("#mark",)))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "#mark")
+    stay = rows.filter("n_shingles > 0").groupBy("label").agg(F.min(place).alias("p")).select("p.doc_id", F.col("p")["#mark"].alias("#mark"))
+    bare = rows.filter("n_shingles = 0").select("doc_id", "#mark").distinct().join(stay.select("doc_id").distinct(), "doc_id", "left_anti")
+    return match(marked, stay.union(bare), ["doc_id", "#mark"]).dropDuplicates(["doc_id", "#mark"]).drop("#mark")

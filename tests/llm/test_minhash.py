@@ -67,3 +67,11 @@ def test_overlaps():
     sets = [np.unique(g.integers(0, 50, n)) for n in (5, 20, 40, 1)]
     got = minhash.overlaps(sets, sets, columns=7)
     assert got.tolist() == [[float(len(np.intersect1d(a, b))) for b in sets] for a in sets]
+
+
+def test_dedup_keeps_different_texts_of_one_id_and_of_none(spark):
+    long = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(None, long("a")), (None, long("b")), (None, long("b")), (1, long("c")), (1, long("d")), (1, long("d")), (3, long("d") + " x"), (0, long("e")), (1, long("e") + " y"), (2, None), (2, ""), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((tuple(r) for r in minhash.dedup(df).collect()), key=repr)
+    assert got == sorted([(None, long("a")), (None, long("b")), (1, long("c")), (1, long("d")), (0, long("e")), (2, None), (2, ""), (None, None), (None, "")], key=repr)
