@@ -11,17 +11,19 @@ from quillon.functions.vectors import cosine_distance, doubles
 from quillon.operators.keyed import first_rows
 
 RRF_K, POOL, FLOOR = 60, 20, 0.64
+#: Queries that a record is compared with at once.
+BLOCK = 256
 WEIGHTS = {"semantic": 0.35, "sector": 0.25, "confidence": 0.15, "reachability": 0.15, "signals": 0.10}
 
 
 def distances(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Every record of the index (id, vector) against each of a stated, bounded set of queries (query, vector).
+    """Every record of the index (id, vector) against each query (query, vector), however many there are.
 
-    The queries are collected into one literal array, so the index is scanned once and nothing is joined.
+    The queries are dealt into blocks of about BLOCK, and each record meets each block once; no vector reaches the driver.
     """
-    asked = [(r["query"], [float(x) for x in r["vector"]]) for r in queries.collect()]
-    pairs = F.array(*(F.struct(F.lit(q).alias("query"), F.array(*map(F.lit, v)).alias("qv")) for q, v in asked))
-    each = index.select("id", doubles(F.col("vector")).alias("v"), F.explode(pairs).alias("q"))
+    blocks = F.lit(max(1, -(-queries.count() // BLOCK)))
+    asked = queries.select("query", doubles(F.col("vector")).alias("qv")).groupBy(F.pmod(F.xxhash64("query"), blocks).alias("block")).agg(F.collect_list(F.struct("query", "qv")).alias("qs"))
+    each = index.select("id", doubles(F.col("vector")).alias("v")).crossJoin(asked.select("qs")).select("id", "v", F.explode("qs").alias("q"))
     return each.select(F.col("q.query").alias("query"), "id", cosine_distance(F.col("v"), F.col("q.qv")).alias("distance"))
 
 

@@ -115,3 +115,20 @@ def test_missing_csv_gives_no_rows(spark, tmp_path):
     assert feeds.csv_if_there(spark, f"file://{tmp_path}/none.csv", "a string").count() == 0
     (tmp_path / "x.csv").write_text('a,b\n"1, ""x""",2\n')
     assert feeds.csv_if_there(spark, f"file://{tmp_path}/x.csv", "a string, b int").first().a == '1, "x"'
+
+
+def test_distances_of_many_queries_in_blocks(spark, monkeypatch):
+    """No query vector reaches the driver, and every query meets every record."""
+    monkeypatch.setattr(retrieval, "BLOCK", 7)
+    rows = [(i, [float((i * k) % 11 - 5) for k in range(1, 7)] + [1.0]) for i in range(60)]
+    index = spark.createDataFrame(rows, "id int, vector array<float>")
+    asked = index.filter("id % 2 = 0").withColumnRenamed("id", "query")
+    with monkeypatch.context() as m:
+        m.setattr(type(asked), "collect", lambda self: 1 / 0)
+        far = retrieval.distances(index, asked)
+    got = {(r["query"], r["id"]): r["distance"] for r in far.collect()}
+    assert len(got) == 30 * 60
+    for (q, i), d in got.items():
+        a, b = rows[q][1], rows[i][1]
+        norm = lambda v: sum(x * x for x in v) ** 0.5
+        assert abs(d - (1 - sum(x * y for x, y in zip(a, b)) / norm(a) / norm(b))) < 1e-9
