@@ -129,7 +129,7 @@ CLAIM = "case doc_id % 4 when 0 then 'There are 12 family offices here.' when 1
 def count_claim_check(spark, sf):
     k = F.col("id")
     said = cases(k % 4, [(0, "There are 12 family offices here."), (1, "A total of **7** and 12 records match."), (2, "Found 12. 3. No list.")])
-    answers = documents(spark, sf).select("id", F.coalesce(said, F.substring("text", 1, 400)).alias("text"))
+    answers = documents(spark, sf).select("id", F.coalesce(said, F.col("text")).alias("text"))
     return answers.select("id", F.filter(retrieval.count_claims(F.col("text")), lambda n: n != 12).alias("wrong"))
 
 

@@ -132,3 +132,10 @@ def test_distances_of_many_queries_in_blocks(spark, monkeypatch):
         a, b = rows[q][1], rows[i][1]
         norm = lambda v: sum(x * x for x in v) ** 0.5
         assert abs(d - (1 - sum(x * y for x, y in zip(a, b)) / norm(a) / norm(b))) < 1e-9
+
+
+def test_count_claims_after_400_characters(spark, tmp_path):
+    from quillon.plans.retrieval import count_claim_check
+
+    spark.createDataFrame([(3, "x" * 500 + " found 7 firms"), (7, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["id"]: r.wrong for r in count_claim_check(spark, str(tmp_path)).collect()} == {3: [7, 7], 7: None}
