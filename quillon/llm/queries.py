@@ -56,7 +56,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_quality_rules", oracles.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(documents(spark, sf_dir), host="source")
+    return quality.quality(documents(spark, sf_dir), host="source").drop("text")
 
 
 @query("op5_suffix_array_dedup")

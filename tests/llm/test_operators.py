@@ -311,3 +311,13 @@ def test_lines_of_short_texts_and_long_passages(spark):
     rows += [(6, "one\ntwo", "a"), (7, "One\n\n two", "a"), (8, "one", "a"), (9, "one\nthree", "a"), (10, half[0], "a"), (11, half[0] + "\nz", "a"), (12, "", "a"), (13, None, "a"), (14, "p\nq\nr\np\nq\nr", "a"), (None, "one", "a")]
     got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(docs(spark, rows), long_words=50).collect()}
     assert got == {**{i: (t, 0) for i, t, _ in rows}, 2: ("", 1), 3: ("other", 1), 5: ("x\ny", 2), 7: ("", 3), 8: ("", 1), 14: ("p\nq\nr", 3)}
+
+
+def test_frequent_lines_of_copies_are_counted_and_removed(spark):
+    page = "Accept All 7 cookies\n" + " ".join(f"w{i}" for i in range(60))
+    rows = [(i, page, "h") for i in range(6)] + [(9, "own words\naccept all 3  Cookies\nend", "h"), (10, page, "other"), (11, None, "h"), (5, page, "h")]
+    body = page.split("\n")[1]
+    texts = {r.doc_id: (r.text, r.n_frequent_words) for r in quality.quality(docs(spark, rows), limit=5).collect()}
+    assert texts == {i: (t, 0) for i, t, _ in rows}  # two distinct texts hold the line
+    got = {r.doc_id: (r.text, r.n_frequent_words, r.kept) for r in quality.quality(docs(spark, rows), limit=6, by_document=True).collect()}
+    assert got == {**{i: (body, 4, True) for i in range(6)}, 9: ("own words\nend", 4, False), 10: (page, 0, True), 11: (None, 0, False)}
