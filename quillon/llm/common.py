@@ -7,7 +7,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words are runs of anything but space, tab, LF, VT, FF and CR.
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -23,10 +24,12 @@ INVERSES = tuple(pow(b, -1, 2**64) for b in BASES)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (local tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset and one machine does all the work."""
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
     if set_by_cluster:
         return set_by_cluster.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = getattr(spark, "_quillon_dir", None)
     if own is None:
         own = spark._quillon_dir = "file://" + tempfile.mkdtemp(prefix="quillon-")
@@ -40,7 +43,25 @@ def settle(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quillon_path = path
+    return out
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete settled tables that nothing will read any more."""
+    for df in settled:
+        spark, path = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._quillon_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def without(lines: Column, gone: Column) -> Column:
+    """An array of lines without those whose numbers (from 0) are in `gone`, a sorted array without repeats; linear in both.
+
+    `lines` should be a column of its own, as it is read once for each stretch that stays.
+    """
+    before, after = F.concat(F.array(F.lit(-1)), gone), F.concat(gone, F.array(F.size(lines)))
+    return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
 
 
 def partitions(spark: SparkSession) -> int:
