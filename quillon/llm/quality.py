@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD_SPLIT, match
+from quillon.llm.common import WORD_SPLIT, match, without
 
 _SPACES = "\t\n\x0b\x0c\r"
 #: Up to so many distinct repeated windows a text is searched by list, beyond that by sorting.
@@ -46,35 +46,35 @@ def base_counts(docs: DataFrame, *keep: str) -> DataFrame:
     return fifth.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
 
 
-def frequent_lines(docs: DataFrame, host: str, limit: int, by_document: bool = False) -> DataFrame:
-    """Of each row (id, mark, host): how many words stand in lines that more than `limit` distinct texts of the host hold, and which (at).
-
-    by_document counts distinct documents (doc_id, null as one) instead of distinct texts.
-    """
+def frequent_lines(docs: DataFrame, host: str, limit: int) -> DataFrame:
+    """Of each row (doc_id, mark, host): how many words stand in lines that more than `limit` documents of the host hold, and the numbers of those lines (at)."""
     line = F.posexplode(F.split("text", "\n")).alias("at", "line")
     lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.col(host).alias("host"), line)
     normal = lines.select("doc_id", "mark", "host", "at", normal_line(F.col("line")).alias("line")).filter("line <> ''")
-    hashed = normal.select("doc_id", "mark", "host", "at", F.xxhash64("line").alias("hash"), F.size(F.split("line", " ")).cast("long").alias("words"))
-    # Rows that repeat a text (or a document) are combined here; they count once for the limit.
-    by_text = hashed.groupBy("host", "hash", "doc_id" if by_document else "mark").agg(F.count("*").alias("n"))
-    often = by_text.groupBy("host", "hash").agg(F.count("*").alias("texts")).filter(F.col("texts") > limit).drop("texts")
-    return match(hashed, often, ["hash", "host"]).groupBy("doc_id", "mark", "host").agg(F.sum("words").alias("frequent"), F.collect_set("at").alias("at"))
+    # Two hashes, as a line is removed by them alone.
+    hashed = normal.select("doc_id", "mark", "host", "at", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("hash2"), F.size(F.split("line", " ")).cast("long").alias("words"))
+    # Rows that repeat a document count once; documents without a doc_id are told apart by their text.
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("mark"))
+    by_document = hashed.groupBy("host", "hash", "hash2", "doc_id", unnamed).agg(F.count("*").alias("n"))
+    often = by_document.groupBy("host", "hash", "hash2").agg(F.count("*").alias("documents")).filter(F.col("documents") > limit).drop("documents")
+    found = match(hashed, often, ["hash", "hash2", "host"])
+    return found.groupBy("doc_id", "mark", "host").agg(F.sum("words").alias("frequent"), F.sort_array(F.collect_set("at")).alias("at"))
 
 
-def quality(docs: DataFrame, host: str = "source", limit: int = 50, depleted: float = 0.5, min_words: int = 50, max_repeat: float = 0.5, by_document: bool = False) -> DataFrame:
+def quality(docs: DataFrame, host: str = "source", limit: int = 50, depleted: float = 0.5, min_words: int = 50, max_repeat: float = 0.5) -> DataFrame:
     """Rules for each document (doc_id, text and the host column).
 
-    Lines are normalised and hashed, the distinct texts that hold a line are counted for each host, and lines held by
-    more than `limit` of a host's texts are removed. A document is rejected if more than `depleted` of its words stood
-    in such lines, or if it fails the base rules: fewer than min_words words, or more than max_repeat of its words in
-    3-word windows found twice or more. Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_frequent_words, base_failed, kept, and the text without the lines removed. by_document counts the documents
-    (distinct doc_ids) that hold a line instead of the distinct texts, so that copies count each. A null text has no words; null hosts are one host. Rows that repeat doc_id,
-    host and text are judged alike (their repeats count once for the limit). An empty table gives no rows.
+    Lines are normalised and hashed, the distinct documents (doc_ids) that hold a line are counted for each host, copies
+    included, and lines held by more than `limit` of a host's documents are removed. A document is rejected if more than
+    `depleted` of its words stood in such lines, or if it fails the base rules: fewer than min_words words, or more than
+    max_repeat of its words in 3-word windows found twice or more. Returns doc_id, n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, n_frequent_words, base_failed, kept, and the text without the lines removed. A null
+    text has no words; null hosts are one host; documents without a doc_id are told apart by their text. Rows that
+    repeat doc_id, host and text are judged alike (their repeats count once for the limit). An empty table gives no rows.
     """
     slim = docs.select("doc_id", "text", F.col(host).alias("host")).withColumn("mark", F.xxhash64("text"))
     base = base_counts(slim, "doc_id", "host", "mark", "text")
-    frequent = frequent_lines(docs, host, limit, by_document)
+    frequent = frequent_lines(docs, host, limit)
     # A row of `frequent` sums over the rows that repeat it; their number is in n_same.
     same = slim.groupBy("doc_id", "host", "mark").agg(F.count("*").alias("n_same")).filter("n_same > 1")
     rows = ["doc_id", "mark", "host"]
@@ -82,6 +82,7 @@ def quality(docs: DataFrame, host: str = "source", limit: int = 50, depleted: fl
     joined = match(base, share, rows, "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > F.lit(int(100 * max_repeat)) * F.col("n_words"))
     emptied = F.coalesce(F.col("n_frequent"), F.lit(0)) > depleted * F.col("n_words")
-    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("at", i)), "\n")
-    text = F.when(F.col("at").isNull(), F.col("text")).otherwise(rest)
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent_words"), failed.alias("base_failed"), (~failed & ~emptied).alias("kept"), text.alias("text"))
+    # explode() of one element: the text is cut into lines once, not once for each stretch that stays.
+    cut = joined.withColumn("#lines", F.explode(F.array(F.split("text", "\n"))))
+    text = F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(without(F.col("#lines"), F.col("at")), "\n"))
+    return cut.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent_words"), failed.alias("base_failed"), (~failed & ~emptied).alias("kept"), text.alias("text"))
