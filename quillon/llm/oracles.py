@@ -22,7 +22,7 @@ cov as (select doc_id, count(distinct p) as n_repeat_words from (select doc_id,
 lines as (
   select doc_id, source, t, trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) as line
   from (select doc_id, source, t, unnest(string_split(t, chr(10))) as line from d)),
-often as (select source, line from lines where line <> '' group by source, line having count(distinct t) > 50),
+often as (select source, line from lines where line <> '' group by source, line having count(distinct doc_id) > 50),
 freq as (
   select l.doc_id, sum(len(string_split(l.line, ' '))) as n
   from lines l join often o on l.source is not distinct from o.source and l.line = o.line group by l.doc_id)
@@ -59,10 +59,17 @@ LINES = r"""
 with l as (
   select doc_id, unnest(generate_series(1, len(ls))) as i, ls from (select doc_id, string_split(text, chr(10)) as ls from documents)),
 n as (select doc_id, i, ls[i] as line, trim(regexp_replace(lower(ls[i]), '[\x20\x09-\x0D]+', ' ', 'g')) as norm from l),
-f as (
-  select doc_id, i as a, lead(i, 2) over r as z, norm || chr(10) || lead(norm, 1) over r || chr(10) || lead(norm, 2) over r as w
+m as (
+  select doc_id, i, norm, len(string_split(norm, ' ')) as k, lead(i) over r as i2, lead(i, 2) over r as i3, lead(norm) over r as norm2, lead(norm, 2) over r as norm3,
+    count(*) over (partition by doc_id) as n_full, row_number() over r as nth
   from n where norm <> '' window r as (partition by doc_id order by i)),
-k as (select *, row_number() over (partition by w order by doc_id, a) as nth from f where w is not null),
+f as (
+  select doc_id, i as a, i3 as z, norm || chr(10) || norm2 || chr(10) || norm3 as w from m where i3 is not null
+  union all select doc_id, i, i2, norm || chr(10) || norm2 from m where i2 is not null and k + len(string_split(norm2, ' ')) > 50
+  union all select doc_id, i, i, norm from m where k > 50
+  union all select doc_id, i, i2, 'whole' || chr(13) || norm || chr(10) || norm2 from m where n_full = 2 and nth = 1 and k + len(string_split(norm2, ' ')) <= 50
+  union all select doc_id, i, i, 'whole' || chr(13) || norm from m where n_full = 1 and k <= 50),
+k as (select *, row_number() over (partition by w order by doc_id, a) as nth from f),
 g as (select distinct doc_id, unnest(generate_series(a, z)) as i from k where nth > 1)
 select d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::bigint as n_lines, coalesce(x.n_removed, 0)::bigint as n_removed,
   sha256(x.kept) as kept_sha256

@@ -72,7 +72,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_line_dedup", oracles.LINES)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.dedup_lines(documents(spark, sf_dir), run=3)
+    cut = lines.dedup_lines(documents(spark, sf_dir), run=3, long_words=50)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
