@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from quillon.llm.common import settle
 
-#: Ranks of pieces of one length are counted in so many parts, so that no length is one task's alone.
-PARTS = 64
+#: Pieces of one length are ranked in parts of about so many, so that no length is one task's alone.
+PART_ROWS = 200_000
 #: White space besides the plain space; a space before any of these does not begin a token of its own.
 OTHER_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　"
 CACHE = 300_000
@@ -96,25 +96,26 @@ def cut(ids: bytes, capacity: int, end_id: int) -> list[tuple[int, int, bytes]]:
     return [(a, b - a, ids[4 * a : 4 * b]) for a, b in zip(edges, edges[1:])]
 
 
-def tokenize(docs: DataFrame, path: str, capacity: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids)."""
-    kind = dict(docs.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def tokenize(docs: DataFrame, path: str, capacity: int, end_id: int = 0, with_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per piece: doc_id, the columns to carry, piece, start, length, ids_crc32 (and ids)."""
+    own = ["doc_id", *carry]
+    kinds = dict(docs.dtypes)
+    shape = "".join(f"`{c}` {kinds[c]}, " for c in own) + "piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path)
         for batch in batches:
-            rows = [(k, i, a, n, zlib.crc32(x), x) for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, (a, n, x) in enumerate(cut(encode(text or ""), capacity, end_id))]
+            rows = [(k, i, a, n, zlib.crc32(x), x) for k, text in enumerate(batch.column("text").to_pylist()) for i, (a, n, x) in enumerate(cut(encode(text or ""), capacity, end_id))]
             cols = list(zip(*rows)) or [[]] * 6
-            arrays = [pa.array(cols[0], id_type), pa.array(cols[1], pa.int32()), *(pa.array(cols[j], pa.int64()) for j in (2, 3, 4))]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            row = pa.array(cols[0], pa.int64())
+            arrays = [*(batch.column(c).take(row) for c in own), pa.array(cols[1], pa.int32()), *(pa.array(cols[j], pa.int64()) for j in (2, 3, 4))]
+            names = [*own, "piece", "start", "length", "ids_crc32"]
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in cols[5]], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, shape)
+    return docs.select(*own, "text").mapInArrow(run, shape)
 
 
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -210,32 +211,45 @@ def _places(bins: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np.
     return tuple(np.array(x, dtype=np.int64) for x in zip(*rows)) if rows else tuple(np.zeros(0, np.int64) for _ in range(4))
 
 
-def best_fit_pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def best_fit_pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pack documents (doc_id, text) into sequences of at most `capacity` tokens.
 
-    Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids where asked for).
-    A null or empty text is the end id alone. Rows that repeat a doc_id are packed as documents of their own; a null
-    doc_id stays null. Other columns are ignored. An empty table gives no rows. `path` is the tokenizer's file.
+    Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, the columns to carry, and
+    ids where asked for. A piece of full length is a sequence of its own, numbered below 0 without any ranking; others find their place from
+    the plan. A null or empty text is the end id alone. Rows that repeat a doc_id are packed as documents of their own;
+    a null doc_id stays null. Other columns are ignored. An empty table gives no rows. `path` is the tokenizer's file.
     """
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    pieces = settle(tokenize(docs, path, capacity, end_id, with_ids)).withColumn("part", part)
-    counts = np.zeros((capacity + 1, PARTS), dtype=np.int64)
-    for n, p, rows in pieces.groupBy("length", "part").agg(F.count("*")).toLocalIterator():  # at most capacity * PARTS rows
-        counts[n, p] = rows
-    before = np.cumsum(counts, axis=1) - counts
-    places = _places(plan(counts.sum(axis=1), capacity), capacity)
-    ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")))
-    keep = [c for c in ranked.columns if c not in ("part", "rank")]
-    shape = ", ".join(f"{c} {t}" for c, t in ranked.dtypes if c in keep) + ", sequence_id long, offset long"
+    pieces = settle(tokenize(docs, path, capacity, end_id, with_ids, carry))
+    alone = pieces.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    rest = pieces.filter(F.col("length") < capacity)
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    for n, rows in rest.groupBy("length").agg(F.count("*")).collect():  # at most capacity rows
+        counts[n] = rows
+    parts = np.maximum(1, -(-counts // PART_ROWS))
+    first = np.cumsum(parts) - parts  # the number of a length's first part among all parts
+    many = F.element_at(F.array(*(F.lit(int(p)) for p in parts)), (F.col("length") + 1).cast("int"))
+    dealt = rest.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), many.cast("long")).cast("int"))
+    sizes = np.zeros(int(parts.sum()), dtype=np.int64)
+    if (parts > 1).any():  # one number for PART_ROWS pieces
+        for n, p, rows in dealt.groupBy("length", "part").agg(F.count("*")).collect():
+            sizes[first[n] + p] = rows
+    else:
+        sizes[first] = counts
+    before = np.cumsum(sizes) - sizes
+    before -= np.repeat(before[first], parts)
+    places = _places(plan(counts, capacity), capacity)
+    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")))
+    keep = pieces.columns
+    shape = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, base, each, at = places
         for batch in batches:
             n, p, r = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "part", "rank"))
-            rank = before[n, p] + r - 1
+            rank = before[first[n] + p] + r - 1
             i = np.searchsorted(key, (n << 44) + rank, side="right") - 1
             nth = rank - (key[i] & ((1 << 44) - 1))
             new = [pa.array(base[i] + nth // each[i]), pa.array(at[i] + nth % each[i] * n)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], [*keep, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, shape)
+    return ranked.mapInArrow(run, shape).unionByName(alone)
