@@ -135,11 +135,11 @@ def identify(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:
 
     A text that is null or has no letter is `und` with score 0, as is every text if nothing could be learned. Ties go
     to the language first by code point. Rows are judged one by one, so repeats, nulls elsewhere and other columns
-    change nothing.
+    change nothing; columns to keep that are named lang_pred or score give way to the new ones.
     """
-    kept = docs.select(*keep)
+    kept = docs.select(*keep).drop("lang_pred", "score")
     own = "text" in kept.columns  # then the text goes to the workers only once
-    shaped = kept if own else docs.select(*keep, F.col("text").alias("#text"))
+    shaped = kept if own else docs.select(*keep, F.col("text").alias("#text")).drop("lang_pred", "score")
     text_column = "text" if own else "#text"
     schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by vocabulary, n-gram lengths and languages
