@@ -328,16 +328,25 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 5
     return w / scale
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, characters: int = 60_000_000) -> Model:
     """Learn from at most `sample` labelled rows (doc_id, toxic) that are not held out, chosen by a hash of the doc_id.
 
-    The bound keeps the driver's share constant: a few thousand whole texts. Rows with a null label or doc_id are not
-    used; of several labels for a document the highest counts.
+    The bounds keep the driver's share constant: a few thousand whole texts of at most `characters` in all (a text that
+    would exceed that is left out), and a vocabulary of the VOCABULARY most frequent words of these. Rows with a null
+    label, doc_id or text are not used; of several labels for a document the highest counts, of several texts the least.
     """
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()  # bounded by sample
+    sized = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.length("text").alias("size"), F.xxhash64("text").alias("mark"))).alias("t"))
+    left, picked = characters, []
+    for doc_id, size, mark in sized.select("doc_id", "t.size", "t.mark").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # at most sample rows
+        if size <= left:
+            left -= size
+            picked.append((doc_id, mark))
+    own = docs.sparkSession.createDataFrame(picked, f"doc_id {dict(docs.dtypes)['doc_id']}, mark long")
+    one = texts.withColumn("mark", F.xxhash64("text")).join(F.broadcast(own), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
+    rows = one.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()  # bounded by sample and characters
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return fit([r["text"] for r in rows], np.array([int(r["toxic"]) for r in rows]))
 
