@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import settle
+from quillon.llm.common import discard, settle
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,12 +16,14 @@ def components(links: DataFrame) -> DataFrame:
     number of changed labels reaches the driver.
     """
     both = settle(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    labels = held = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     while True:
         around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(around, labels["node"] == around["a"]).select("node", F.least("label", "near").alias("next"), F.col("label").alias("was"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("then"))
         after = settle(lower.join(jump, "next", "left").select("node", F.coalesce("then", "next").alias("label"), (F.coalesce("then", "next") != F.col("was")).alias("moved")))
-        labels = after.select("node", "label")
+        discard(held)
+        held, labels = after, after.select("node", "label")
         if after.filter("moved").isEmpty():
+            discard(both)
             return labels

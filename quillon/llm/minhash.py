@@ -15,15 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import U64, lower_ascii, match, mix, prefix_hash, settle, slices, span_hash, text_bytes, word_bounds, word_codes
+from quillon.llm.common import U64, discard, lower_ascii, match, mix, prefix_hash, settle, slices, span_hash, text_bytes, word_bounds, word_codes
 from quillon.llm.graph import components
 
 #: A pair of similarity s shares a table with probability (1 - (1 - s**ROWS)**SIDE)**2: 0.997 at 0.8, 0.99998 at 0.9.
 SIDE, ROWS = 9, 3
 #: Bytes of text that a worker hashes at once.
 SLICE = 1 << 20
-#: Members of one group that are compared pair by pair come in blocks of about so many.
-BLOCK = 256
+#: Groups that are compared pair by pair are cut into blocks of about so many members, at most so many blocks, unless a
+#: block would then hold more hashes than a task should: each member goes to as many tasks as its group has blocks.
+BLOCK, BLOCKS, BLOCK_HASHES = 256, 64, 4 << 20
+#: Rounds in which components are joined through one pivot for each table key, before what is left is compared in blocks.
+PIVOTS = 2
 _draw = np.random.default_rng(77)
 _FACTORS = _draw.integers(1, 2**63, 2 * SIDE * ROWS, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _SHIFTS = _draw.integers(1, 2**63, 2 * SIDE * ROWS, dtype=np.int64).astype(U64)
@@ -77,9 +80,9 @@ def _sets(words: int):
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 hashes, edges = shingle_sets(batch.column(0), words)
-                ids = _per_text(mix(hashes), edges, np.add).view(np.int64)
+                ids = [pa.array(_per_text(x, edges, np.add).view(np.int64)) for x in (mix(hashes), mix(hashes * _FACTORS[0]))]
                 lists = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(hashes.view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), lists], ["node", "set"])
+                yield pa.RecordBatch.from_arrays([*ids, lists], ["set1", "set2", "set"])
 
     return run
 
@@ -103,7 +106,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> n
     return out
 
 
-def _compare(percent: int):
+def _compare(percent: int, step: int = 512):
     """Of two blocks of one group: links that join members of different components, none that follows from the others."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -112,24 +115,35 @@ def _compare(percent: int):
         lists = table.column("set").combine_chunks()
         flat, edges = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         pick = lambda at: [flat[edges[i] : edges[i + 1]] for i in at]
-        a = np.flatnonzero(low)
-        b = a if inner else np.flatnonzero(~low)
-        node, label, size = table.column("node").to_numpy(), table.column("label").to_numpy(), np.diff(edges)
-        both = overlaps(pick(a), pick(b))
-        i, j = np.nonzero((100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)) & (label[a][:, None] != label[b][None, :]))
-        root: dict[int, int] = {}
+        node, size = table.column("node").to_numpy(), np.diff(edges)
+        names, label = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        root = np.arange(len(names))
 
         def find(x: int) -> int:
-            while root.get(x, x) != x:
+            while root[x] != x:
+                root[x] = root[root[x]]
                 x = root[x]
             return x
 
-        out = []
-        for s, t in zip(a[i].tolist(), b[j].tolist()):
-            x, y = find(label[s].item()), find(label[t].item())
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((node[s], node[t]))
+        # By size, so that most pairs of parts are too unlike in size to be compared at all.
+        one, out = np.flatnonzero(low), []
+        two = one if inner else np.flatnonzero(~low)
+        one, two = one[np.argsort(size[one], kind="stable")], two[np.argsort(size[two], kind="stable")]
+        for p in range(0, len(one), step):
+            for q in range(0, len(two), step):
+                a, b = one[p : p + step], two[q : q + step]
+                if 100 * size[a[-1]] < percent * size[b[0]] or 100 * size[b[-1]] < percent * size[a[0]] or (inner and q < p):
+                    continue
+                here = np.array([find(x) for x in range(len(names))])[label] if len(names) <= 4 * step else label
+                if (here[a][0] == here[a]).all() and (here[a][0] == here[b]).all():
+                    continue
+                both = overlaps(pick(a), pick(b))
+                i, j = np.nonzero((100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)) & (here[a][:, None] != here[b][None, :]))
+                for s, t in zip(a[i].tolist(), b[j].tolist()):
+                    x, y = find(label[s]), find(label[t])
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        out.append((node[s], node[t]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
@@ -137,8 +151,9 @@ def _compare(percent: int):
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Links between components inside each group of candidates (node, label, group, set), block by block."""
-    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("set")).alias("hashes"))
+    many = F.greatest(F.least(F.ceil(F.col("n") / BLOCK), F.lit(BLOCKS)), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
+    placed = members.join(sizes.select("group", many.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("group", "node", "label", "set", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     return paired.groupBy("group", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
@@ -149,7 +164,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(two, "b").withColumn("n", F.size(F.array_intersect("set_a", "set_b")))
-    return both.filter(100 * F.col("n") >= percent * (F.size("set_a") + F.size("set_b") - F.col("n"))).select("a", "b")
+    return both.filter(100 * F.col("n") >= percent * (F.size("set_a") + F.size("set_b") - F.col("n"))).select(*pairs.columns)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -159,9 +174,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     words, of a shorter text the whole sequence. Documents are linked if 100 * |both| >= percent * |either|;
     component_id is the smallest doc_id reachable. Texts without words, and null texts, are linked with nothing.
 
-    Equal sets are joined first. Within a table key, members are compared with the least of them. Keys whose members
-    then still lie in different components form groups, and those are compared whole, in blocks that pass on only links
-    between components: no pair is written out that is not such a link, and no link between components is lost. Rows that repeat a doc_id
+    Equal sets are joined first. Each set is compared with the least set that it shares a table key with, then, in
+    rounds, components that share a key through that key's pivot, one pair for two components. Keys whose members then
+    still lie in different components join these into groups, which are compared whole, in blocks that pass on only
+    links between components: no pair is written out that is not such a link, and no link between components is lost.
+    The blocks cost the square of a group's different sets that no pivot could join. Rows that repeat a doc_id
     are told apart by their text; a null doc_id counts as larger than all others. An empty table gives no rows.
     """
     out = _judged(docs, words, percent)
@@ -169,6 +186,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """classes with `node`, one number for each (set1, set2): set1, or a hash of both where one set1 stands for several sets."""
+    twins = classes.groupBy("set1").count().filter("count > 1").select("set1", F.lit(True).alias("twin"))
+    node = F.when(F.col("twin"), F.xxhash64("set1", "set2")).otherwise(F.col("set1"))
+    return settle(classes.join(twins, "set1", "left").withColumn("node", node).drop("twin"))
+
+
 def _judged(docs: DataFrame, words: int, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id, label of each row, and its long columns to keep; label tells components apart."""
     keys = [f"k{i}" for i in range(2 * SIDE)]
@@ -177,34 +201,59 @@ def _judged(docs: DataFrame, words: int, percent: int, keep: tuple[str, ...] = (
     signed = settle(docs.select("doc_id", "text", *keep).mapInArrow(_signatures(words, keep), shape))
     full = signed.filter("n_shingles > 0")
     classes = settle(full.groupBy("set1", "set2").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"), *(F.min(k).alias(k) for k in keys)))
+    classes = _named(classes)
     tables = F.array(*(F.xxhash64(F.lit(i * SIDE + j), keys[i], keys[SIDE + j]) for i in range(SIDE) for j in range(SIDE)))
-    rows = classes.select(F.col("set1").alias("node"), F.explode(tables).alias("key"))
+    rows = classes.select("node", F.explode(tables).alias("key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").drop("most")
     members = settle(rows.join(shared, "key"))
-    needed = members.select("node").distinct()
-    wanted = classes.join(needed, classes["set1"] == needed["node"]).select("first_id").distinct()
-    sets = settle(match(docs.select("doc_id", "text"), wanted.withColumnRenamed("first_id", "doc_id"), ["doc_id"]).select("text").mapInArrow(_sets(words), "node long, set array<long>").dropDuplicates(["node"]))
+    wanted = classes.join(members.select("node").distinct(), "node").select("first_id").distinct()
+    found = match(docs.select("doc_id", "text"), wanted.withColumnRenamed("first_id", "doc_id"), ["doc_id"]).select("text").mapInArrow(_sets(words), "set1 long, set2 long, set array<long>")
+    sets = settle(match(classes.select("set1", "set2", "node"), found, ["set1", "set2"]).select("node", "set").dropDuplicates(["node"]))
     sizes = sets.select("node", F.size("set").alias("size"))
 
-    def like_sized(pairs: DataFrame) -> DataFrame:
-        """Sets that differ too much in size cannot be similar enough; what remains is worth fetching the sets for."""
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), with their other columns, those that are similar enough. Sets that differ too much in size
+        cannot be, so what remains is worth fetching the sets for."""
         a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
         fit = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-        return pairs.join(a, "a").join(b, "b").filter(fit).select("a", "b")
-
-    star = members.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    links = settle(_confirm(like_sized(star), sets, percent))
-    labels = components(links)
-    at = settle(members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
-    apart = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("b"), F.count("*").alias("n"))
-    open_ = at.join(apart.filter("lo < hi and n > 2").select("key", "b"), "key")  # of two members the pair is settled
+        return settle(_confirm(pairs.join(a, "a").join(b, "b").filter(fit).select(*pairs.columns), sets, percent))
+
+    nearest = members.filter("node <> least").groupBy("node").agg(F.min("least").alias("b"))
+    labels = components(linked(nearest.select(F.col("node").alias("a"), "b")))
+
+    def placed() -> DataFrame:
+        """Members of the keys that still join different components, with the pivot of each key: its least member of the least component."""
+        at = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        pivots = at.groupBy("key").agg(F.min(F.struct("label", "node")).alias("pivot"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("pivot.label < hi")
+        return settle(at.join(pivots.select("key", "n", F.col("pivot.label").alias("lo"), F.col("pivot.node").alias("pivot")), "key"))
+
+    def joined_by(edges: DataFrame) -> DataFrame:
+        """The labels of all nodes after components (a, b) have been joined."""
+        over = components(edges)
+        told = labels.select("node", F.col("label").alias("was")).join(over.withColumnRenamed("node", "was"), "was", "left").select("node", F.coalesce("label", "was").alias("label"))
+        single = over.join(labels.select("node"), "node", "left_anti")  # nodes that had no link yet are components of their own
+        return settle(told.unionByName(single))
+
+    for turn in range(PIVOTS + 1):
+        at = placed()
+        if turn == PIVOTS or at.isEmpty():
+            break
+        # Keys of two members are settled here, all others by one pair for two components.
+        two = [F.when(F.col("n") == 2, f("node", "pivot")) for f in (F.least, F.greatest)]
+        each = at.filter("label <> lo" if turn == 0 else "label <> lo and n > 2").groupBy("label", "lo", *two).agg(F.min(F.struct("node", "pivot")).alias("p"))
+        more = linked(each.select(F.col("p.node").alias("a"), F.col("p.pivot").alias("b"), "label", "lo"))
+        labels = joined_by(more.select(F.col("label").alias("a"), F.col("lo").alias("b")))
+    open_ = at.filter("n > 2")  # of two members the pair is settled
     if not open_.isEmpty():
-        groups = components(open_.select(F.col("node").alias("a"), "b"))
-        labelled = open_.select("node", "label").distinct().join(groups.withColumnRenamed("label", "group"), "node")
+        groups = components(open_.filter("label <> lo").select(F.col("label").alias("a"), F.col("lo").alias("b")).distinct())
+        labelled = open_.select("node", "label").distinct().join(groups.select(F.col("node").alias("label"), F.col("label").alias("group")), "label")
+        own = labelled.select("node", F.col("label").alias("own"))
         more = settle(_across(labelled.join(sets, "node"), percent))
         if not more.isEmpty():
-            labels = components(links.unionByName(more))
-    joined = classes.join(labels, classes["set1"] == labels["node"], "left").select("set1", "set2", "first_id", F.coalesce("label", "set1").alias("label"))
+            ends = more.join(own.select(F.col("node").alias("a"), F.col("own").alias("la")), "a").join(own.select(F.col("node").alias("b"), F.col("own").alias("lb")), "b")
+            labels = joined_by(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    discard(members, sets)
+    joined = classes.join(labels, "node", "left").select("set1", "set2", "first_id", F.coalesce("label", "node").alias("label"))
     least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_class = joined.join(least, "label").select("set1", "set2", "component_id", "label")
     out = signed.select("doc_id", "n_shingles", "set1", "set2", *keep).join(of_class, ["set1", "set2"], "left")
