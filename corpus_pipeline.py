@@ -2,8 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that stay, with their columns; the last returns the
 packed pieces. Between stages the rows are written as Parquet to the shared folder and read again, so a lost executor
-costs a reread and no stage computes another one twice. A repeat of a document in the mix has a doc_id of its own row
-only by its text; pieces of repeats therefore carry the same doc_id.
+costs a reread and no stage computes another one twice; what a stage has read is deleted when the next has been written.
+The mix repeats documents; the packed pieces of each of its rows share a row_id, so that repeats can be told apart.
+
+Documents may have further columns, also such as operators return (lang_pred, score, n_lines, n_removed); they are kept.
 """
 
 from __future__ import annotations
@@ -17,11 +19,19 @@ from quillon.llm import common, language, lines, minhash, mixing, packing, queri
 LEAST_SCORE = 0.5
 
 
+def _aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with the columns renamed that an operator would take for its own, and the way back."""
+    clash = {c: f"#own_{c}" for c in docs.columns if c in taken}
+    return docs.withColumnsRenamed(clash), {v: k for k, v in clash.items()}
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those in which no language has half of the posterior."""
     common.ship_package(spark)
     model = language.train(docs.filter(~language.held_out()))
-    return language.identify(docs, model, *docs.columns).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    plain, back = _aside(docs, "lang_pred", "score")
+    judged = language.identify(plain, model, *plain.columns)
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*plain.columns).withColumnsRenamed(back)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +39,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that is all repeats goes.
     """
-    cut = lines.dedup_lines(docs, run=3, long_words=50)
-    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns)
+    plain, back = _aside(docs, "n_lines", "n_removed")
+    cut = lines.dedup_lines(plain, run=3, long_words=50)
+    return cut.filter((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*plain.columns).withColumnsRenamed(back)
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +56,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs token sequences of 2048."""
+    """Packs token sequences of 2048; row_id tells rows of docs apart that share a doc_id."""
     common.ship_package(spark)
-    return packing.best_fit_pack(docs, queries.tokenizer_path(), capacity=2048, end_id=0)
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"))
+    return packing.best_fit_pack(numbered, queries.tokenizer_path(), capacity=2048, end_id=0, carry=("row_id",))
 
 
 STAGES = [
@@ -64,7 +76,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; the packed pieces."""
-    docs = queries.documents(spark, sf_dir)
+    docs, held = queries.documents(spark, sf_dir), None
     for _, stage in STAGES[:-1]:
-        docs = common.settle(stage(spark, docs, sf_dir))
+        kept = common.settle(stage(spark, docs, sf_dir))
+        if held is not None:
+            common.discard(held)
+        docs = held = kept
     return STAGES[-1][1](spark, docs, sf_dir)
