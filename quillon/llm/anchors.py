@@ -9,7 +9,6 @@ one task is compared window by window instead, dealt by the windows' own hashes,
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,9 +24,11 @@ _LOW = (1 << 28) - 1
 #: A piece of input in which an anchor has more surroundings than this sends its windows; so does an anchor that has
 #: more than GROUP surroundings altogether.
 LOCAL_HOT, GROUP = 32, 512
+#: Rows, and bytes of the texts of variants (a shard), that a task takes into memory at once, in whole groups of an anchor.
+ROWS_AT_ONCE, SHARD = 500_000, 2 << 20
 SEGMENT, CUT, ASK, HOT, MARK = range(5)
 _NO_ID = -(2**63)
-ROW = "kind int, bucket int, h long, g long, doc long, crc long, start long, stop long, known int"
+ROW = "kind int, bucket int, h long, g long, doc long, mark long, start long, stop long, known int"
 _NAMES = [x.split()[0] for x in ROW.split(", ")]
 
 
@@ -55,7 +56,6 @@ class Units:
             self.first, codes = offsets, BYTE_CODE[self.buf]
         self.n = len(codes)
         self.one, self.two = prefix_hash(codes, 0), prefix_hash(codes, 1)
-        self.crc = np.array([zlib.crc32(self.buf[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.int64)
 
     def hashes(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return mix(span_hash(self.one, start, stop, 0)), mix(span_hash(self.two, start, stop, 1))
@@ -94,13 +94,13 @@ def _batch(columns: dict[str, np.ndarray], n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(full[c]) for c in _NAMES], _NAMES)
 
 
-def combine(h, g, doc, crc, start, stop, known, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def combine(h, g, doc, mark, start, stop, known, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups of equal (h, g): an order by group and place, the first row of each group, its size, and the rows to cut.
 
-    The order is by h, g, doc, crc, start. Where the earliest stays, all later rows of a group go, but for repeats of
+    The order is by h, g, doc, mark, start. Where the earliest stays, all later rows of a group go, but for repeats of
     the same place; else all rows of groups of two and more, or known to be repeated, go.
     """
-    order = np.lexsort((start, crc, doc, g, h))
+    order = np.lexsort((start, mark, doc, g, h))
     H, G = h[order], g[order]
     new = np.concatenate([[True], (H[1:] != H[:-1]) | (G[1:] != G[:-1])]) if len(order) else np.zeros(0, bool)
     head = np.flatnonzero(new)
@@ -108,7 +108,7 @@ def combine(h, g, doc, crc, start, stop, known, spec: Spec) -> tuple[np.ndarray,
     group = np.cumsum(new) - 1
     if spec.keep_first:
         lead = head[group]
-        same = (doc[order] == doc[order][lead]) & (crc[order] == crc[order][lead]) & (start[order] == start[order][lead])
+        same = (doc[order] == doc[order][lead]) & (mark[order] == mark[order][lead]) & (start[order] == start[order][lead])
         cut = order[~same]
     else:
         repeated = (size > 1) | (np.maximum.reduceat(known[order], head) > 0 if len(head) else np.zeros(0, bool))
@@ -129,7 +129,7 @@ def _mapped(spec: Spec, buckets: int):
                 doc, base = batch.column("doc").to_numpy()[text], u.first[text]
                 h = mix(span_hash(u.one, anchor, anchor + spec.part))
                 g = mix(span_hash(u.two, first, last + spec.length, 1) + mix((anchor - first).astype(U64)))
-                rows = {"h": h.view(np.int64), "g": g.view(np.int64), "doc": doc, "crc": u.crc[text], "start": first - base, "stop": last + spec.length - base, "known": np.zeros(len(h), np.int64)}
+                rows = {"h": h.view(np.int64), "g": g.view(np.int64), "doc": doc, "mark": batch.column("mark").to_numpy()[text], "start": first - base, "stop": last + spec.length - base, "known": np.zeros(len(h), np.int64)}
                 yield from _sent(rows, spec, buckets, LOCAL_HOT)
 
     return run
@@ -160,43 +160,59 @@ def _sent(rows: dict[str, np.ndarray], spec: Spec, buckets: int, hot_over: int |
     yield _batch(take(at, known=known[~hot], kind=np.full(len(at), SEGMENT), bucket=bucket[~hot]), len(at))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], Iterator[pa.RecordBatch]]:
-    """Rows of segments and marks, as columns; decided rows apart, as they came."""
-    done, rest = [], []
+def _whole_groups(batches: Iterator[pa.RecordBatch], enough: Callable[[pa.Table], bool]) -> Iterator[pa.Table]:
+    """Rows that come sorted by h, in tables of whole groups of one h; a table is passed on once it is `enough`.
+
+    Memory holds such a table and one group, however many rows a partition has.
+    """
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        kind = batch.column("kind").to_numpy()
-        decided = (kind == CUT) | (kind == HOT)
-        if decided.any():
-            done.append(batch.filter(pa.array(decided)))
-        if not decided.all():
-            rest.append(batch.filter(pa.array(~decided)))
-    table = pa.Table.from_batches(rest) if rest else None
-    return {c: table.column(c).to_numpy() if table is not None else np.zeros(0, np.int64) for c in _NAMES}, iter(done)
+        if not len(batch):
+            continue
+        h = batch.column("h").to_numpy()
+        cut = int(np.searchsorted(h, h[-1]))  # where the last group, which may go on, begins
+        if held and h[0] != held[-1].column("h")[-1].as_py() and enough(table := pa.Table.from_batches(held)):
+            yield table
+            held = []
+        if cut:
+            held.append(batch.slice(0, cut))
+            if enough(table := pa.Table.from_batches(held)):
+                yield table
+                held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    return {c: table.column(c).to_numpy() for c in _NAMES if c not in ("kind", "bucket")}
 
 
 def _reduced(spec: Spec):
     """Cuts for equal segments, and the variants to compare: one row of each surrounding of an anchor that has several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, done = _gathered(batches)
-        yield from done
-        marked = np.unique(rows["h"][rows["kind"] == MARK])
-        plain = rows["kind"] == SEGMENT
-        rows = {c: rows[c][plain] for c in _NAMES if c not in ("kind", "bucket")}
-        if not len(rows["h"]):
-            return
-        order, head, size, cut = combine(**rows, spec=spec)
-        if len(cut):
-            yield _batch({k: v[cut] for k, v in rows.items()} | {"kind": np.full(len(cut), CUT)}, len(cut))
-        firsts = order[head]
-        h = rows["h"][firsts]
-        edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        many = np.repeat(np.diff(np.concatenate([edges, [len(h)]])), np.diff(np.concatenate([edges, [len(h)]])))
-        hot = np.isin(h, marked) | (many > GROUP)
-        at = np.flatnonzero((many > 1) | hot)
-        if len(at):
-            known = np.maximum(size[at] > 1, rows["known"][firsts[at]])
-            yield _batch({k: v[firsts[at]] for k, v in rows.items()} | {"known": known, "kind": np.where(hot[at], HOT, ASK)}, len(at))
+        for table in _whole_groups(batches, lambda t: len(t) >= ROWS_AT_ONCE):
+            kind = table.column("kind").to_numpy()
+            decided = (kind == CUT) | (kind == HOT)
+            if decided.any():
+                yield from table.filter(pa.array(decided)).to_batches()
+            marked = np.unique(table.column("h").to_numpy()[kind == MARK])
+            rows = {c: x[kind == SEGMENT] for c, x in _columns(table).items()}
+            if not len(rows["h"]):
+                continue
+            order, head, size, cut = combine(**rows, spec=spec)
+            if len(cut):
+                yield _batch({k: v[cut] for k, v in rows.items()} | {"kind": np.full(len(cut), CUT)}, len(cut))
+            firsts = order[head]
+            h = rows["h"][firsts]
+            edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            many = np.repeat(np.diff(np.concatenate([edges, [len(h)]])), np.diff(np.concatenate([edges, [len(h)]])))
+            hot = np.isin(h, marked) | (many > GROUP)
+            at = np.flatnonzero((many > 1) | hot)
+            if len(at):
+                known = np.maximum(size[at] > 1, rows["known"][firsts[at]])
+                yield _batch({k: v[firsts[at]] for k, v in rows.items()} | {"known": known, "kind": np.where(hot[at], HOT, ASK)}, len(at))
 
     return run
 
@@ -213,7 +229,7 @@ def _fetched(spec: Spec, buckets: int):
                 items, edges = asked.flatten(), np.concatenate([[0], np.cumsum(asked.value_lengths().to_numpy())])
                 text = np.repeat(np.arange(len(asked)), np.diff(edges))
                 f = {c: items.field(c).to_numpy() for c in ("h", "start", "stop", "hot", "known")}
-                doc, base = batch.column("doc").to_numpy()[text], u.first[text]
+                doc, mark, base = batch.column("doc").to_numpy()[text], batch.column("mark").to_numpy(), u.first[text]
                 hot = f["hot"] > 0
                 if (~hot).any():
                     at = np.flatnonzero(~hot)
@@ -222,7 +238,7 @@ def _fetched(spec: Spec, buckets: int):
                     whole_bytes = u.buf.tobytes()
                     pieces = pa.array([whole_bytes[x:y] for x, y in zip(lo.tolist(), hi.tolist())], pa.binary())
                     h = f["h"][at]
-                    out = _batch({"kind": np.full(len(at), ASK), "bucket": h.view(U64) % U64(buckets), "h": h, "doc": doc[at], "crc": u.crc[text[at]], "start": f["start"][at], "stop": f["stop"][at], "known": f["known"][at]}, len(at))
+                    out = _batch({"kind": np.full(len(at), ASK), "bucket": h.view(U64) % U64(buckets), "h": h, "doc": doc[at], "mark": mark[text[at]], "start": f["start"][at], "stop": f["stop"][at], "known": f["known"][at]}, len(at))
                     yield pa.RecordBatch.from_arrays([*out.columns, pieces], names)
                 if hot.any():
                     at = np.flatnonzero(hot)
@@ -230,7 +246,7 @@ def _fetched(spec: Spec, buckets: int):
                     of = np.repeat(at, count)
                     start = f["start"][of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
                     one, two = u.hashes(start + base[of], start + base[of] + spec.length)
-                    rows = {"h": one.view(np.int64), "g": two.view(np.int64), "doc": doc[of], "crc": u.crc[text[of]], "start": start, "stop": start + spec.length, "known": f["known"][of]}
+                    rows = {"h": one.view(np.int64), "g": two.view(np.int64), "doc": doc[of], "mark": mark[text[of]], "start": start, "stop": start + spec.length, "known": f["known"][of]}
                     for out in _sent(rows, spec, buckets, None):
                         yield pa.RecordBatch.from_arrays([*out.columns, pa.nulls(out.num_rows, pa.binary())], names)
 
@@ -239,44 +255,45 @@ def _fetched(spec: Spec, buckets: int):
 
 def _compared(spec: Spec, compare: Callable[[pa.Table, Spec], tuple[np.ndarray, ...]]):
     """Cuts among variants, by the caller's method, and among the windows of hot anchors."""
-    names = ["doc", "crc", "start", "stop"]
+    names = ["doc", "mark", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, pieces = [], []
-        for batch in batches:
-            has = batch.column("piece").is_valid()
-            pieces.append(batch.filter(has))
-            plain.append(batch.filter(pa.compute.invert(has)).select(_NAMES))
-        rows, done = _gathered(iter(plain))
-        for batch in done:
-            yield batch.select(names)
-        if len(rows["h"]):
-            rows = {c: rows[c] for c in _NAMES if c not in ("kind", "bucket")}
-            cut = combine(**rows, spec=spec)[3]
-            yield pa.RecordBatch.from_arrays([pa.array(rows[c][cut]) for c in names], names)
-        if pieces and (table := pa.Table.from_batches(pieces)).num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in compare(table, spec)], names)
+        for table in _whole_groups(batches, lambda t: len(t) >= ROWS_AT_ONCE or t.nbytes >= SHARD):
+            has = table.column("piece").is_valid().to_numpy()
+            cut = table.column("kind").to_numpy() == CUT
+            if cut.any():
+                yield from table.filter(pa.array(cut)).select(names).to_batches()
+            rows = {c: x[~has & ~cut] for c, x in _columns(table).items()}
+            if len(rows["h"]):
+                gone = combine(**rows, spec=spec)[3]
+                yield pa.RecordBatch.from_arrays([pa.array(rows[c][gone]) for c in names], names)
+            if has.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in compare(table.filter(pa.array(has)), spec)], names)
 
     return run
 
 
 def repeated_spans(docs: DataFrame, spec: Spec, compare: Callable[[pa.Table, Spec], tuple[np.ndarray, ...]]) -> DataFrame:
-    """docs (doc_id, text) with `doc`, `crc` and `gone`, the list of (start, stop) unit ranges to remove (null: none).
+    """docs (doc_id, text) with `doc`, `mark` and `gone`, the list of (start, stop) unit ranges to remove (null: none).
 
-    compare gets the variants that fell into one partition, a table with h, doc, crc, start, known and piece, and
-    returns doc, crc, start and stop of each window to cut.
+    doc is the doc_id where that is a whole number, else a hash of it; mark is a hash of the text. compare gets the
+    variants of some anchors, a table with h, doc, mark, start, known and piece, and returns doc, mark, start and stop
+    of each window to cut.
     """
     buckets = partitions(docs.sparkSession)
-    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.crc32(F.encode("text", "UTF-8")), F.lit(0)).alias("crc"))
-    sent = keyed.select("doc", "text").mapInArrow(_mapped(spec, buckets), ROW)
-    reduced = settle(sent.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).mapInArrow(_reduced(spec), ROW).select("kind", "h", "doc", "crc", "start", "stop", "known"))
-    asks = reduced.filter(F.col("kind").isin(ASK, HOT)).select("doc", "crc", F.struct("h", "start", "stop", (F.col("kind") == HOT).cast("int").alias("hot"), "known").alias("ask"))
-    asked = asks.groupBy("doc", "crc").agg(F.collect_list("ask").alias("asked"))
-    fetched = keyed.join(asked, ["doc", "crc"]).select("doc", "text", "asked").mapInArrow(_fetched(spec, buckets), ROW + ", piece binary")
-    compared = fetched.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).mapInArrow(_compared(spec, compare), "doc long, crc long, start long, stop long")
-    cuts = reduced.filter(F.col("kind") == CUT).select("doc", "crc", "start", "stop").unionByName(compared)
-    gone = cuts.groupBy("doc", "crc").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
-    return keyed.join(gone, ["doc", "crc"], "left")
+    whole = dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
+    number = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    keyed = docs.select("doc_id", "text", F.coalesce(number, F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"))
+    dealt = lambda df: df.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).sortWithinPartitions("h")
+    sent = keyed.select("doc", "mark", "text").mapInArrow(_mapped(spec, buckets), ROW)
+    reduced = settle(dealt(sent).mapInArrow(_reduced(spec), ROW).select("kind", "h", "doc", "mark", "start", "stop", "known"))
+    asks = reduced.filter(F.col("kind").isin(ASK, HOT)).select("doc", "mark", F.struct("h", "start", "stop", (F.col("kind") == HOT).cast("int").alias("hot"), "known").alias("ask"))
+    asked = asks.groupBy("doc", "mark").agg(F.collect_list("ask").alias("asked"))
+    fetched = keyed.join(asked, ["doc", "mark"]).select("doc", "mark", "text", "asked").mapInArrow(_fetched(spec, buckets), ROW + ", piece binary")
+    compared = dealt(fetched).mapInArrow(_compared(spec, compare), "doc long, mark long, start long, stop long")
+    cuts = reduced.filter(F.col("kind") == CUT).select("doc", "mark", "start", "stop").unionByName(compared)
+    gone = cuts.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
+    return keyed.join(gone, ["doc", "mark"], "left")
 
 
 def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -70,13 +70,13 @@ class SuffixAutomaton:
 
 def later_windows(table: pa.Table, spec: Spec) -> tuple[np.ndarray, ...]:
     """Of the variants of each anchor, the windows that an earlier variant holds too."""
-    h, doc, crc, start = (table.column(c).to_numpy() for c in ("h", "doc", "crc", "start"))
-    order = np.lexsort((start, crc, doc, h))
+    h, doc, mark, start = (table.column(c).to_numpy() for c in ("h", "doc", "mark", "start"))
+    order = np.lexsort((start, mark, doc, h))
     pieces = table.column("piece").to_pylist()
     rows, begins = [], []
     automaton, anchor, place = SuffixAutomaton(), None, None
     for i in order.tolist():
-        here = (h[i], doc[i], crc[i], start[i])
+        here = (h[i], doc[i], mark[i], start[i])
         if here == place:
             continue  # a repeated row of the input
         place = here
@@ -89,7 +89,7 @@ def later_windows(table: pa.Table, spec: Spec) -> tuple[np.ndarray, ...]:
                 begins.append(int(start[i]) + j - spec.length + 1)
         automaton.add(words)
     rows, begins = np.array(rows, np.int64), np.array(begins, np.int64)
-    return doc[rows], crc[rows], begins, begins + spec.length
+    return doc[rows], mark[rows], begins, begins + spec.length
 
 
 def _cut_words(text: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, bytes]:
@@ -108,7 +108,7 @@ def dedup_substrings(docs: DataFrame, length: int = 20) -> DataFrame:
     document; windows are judged on the input. Words are runs of anything but ASCII white space. Returns doc_id,
     n_units (words), spans (maximal removed ranges of words) and kept (the words left, joined by one space). A null or
     empty text has no words. Rows that share doc_id and text are one document; rows that share the doc_id only are
-    ordered by a checksum of their text; a null doc_id comes first. An empty table gives no rows.
+    ordered by a hash of their text; a null doc_id comes first. An empty table gives no rows.
     """
     spec = Spec("word", length, max(1, length // 2), keep_first=True)
     return removed(repeated_spans(docs, spec, later_windows), _cut_words, "string")

@@ -156,7 +156,7 @@ def suffix_order(s: np.ndarray, keys: int = 257) -> np.ndarray:
 
 def repeated_windows(table: pa.Table, spec: Spec) -> tuple[np.ndarray, ...]:
     """Of all variants of a shard, the windows that stand at two places or more."""
-    doc, crc, start, known = (table.column(c).to_numpy() for c in ("doc", "crc", "start", "known"))
+    doc, mark, start, known = (table.column(c).to_numpy() for c in ("doc", "mark", "start", "known"))
     pieces = table.column("piece").to_pylist()
     sizes = np.array([len(p) for p in pieces], dtype=np.int64)
     text = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
@@ -178,7 +178,7 @@ def repeated_windows(table: pa.Table, spec: Spec) -> tuple[np.ndarray, ...]:
     last = again[np.concatenate([head[1:], [len(again)]]) - 1] if len(again) else again
     first = again[head]
     p = piece[first]
-    return doc[p], crc[p], start[p] + offset[first], start[p] + offset[last] + spec.length
+    return doc[p], mark[p], start[p] + offset[first], start[p] + offset[last] + spec.length
 
 
 def _cut_bytes(text: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, bytes]:
