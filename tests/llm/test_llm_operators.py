@@ -1,5 +1,6 @@
 """Operators for training text on small tables: brute force, round trips, edge cases."""
 
+import functools
 import hashlib
 import random
 import re
@@ -317,7 +318,200 @@ def test_frequent_lines_of_copies_are_counted_and_removed(spark):
     page = "Accept All 7 cookies\n" + " ".join(f"w{i}" for i in range(60))
     rows = [(i, page, "h") for i in range(6)] + [(9, "own words\naccept all 3  Cookies\nend", "h"), (10, page, "other"), (11, None, "h"), (5, page, "h")]
     body = page.split("\n")[1]
-    texts = {r.doc_id: (r.text, r.n_frequent_words) for r in quality.quality(docs(spark, rows), limit=5).collect()}
-    assert texts == {i: (t, 0) for i, t, _ in rows}  # two distinct texts hold the line
-    got = {r.doc_id: (r.text, r.n_frequent_words, r.kept) for r in quality.quality(docs(spark, rows), limit=6, by_document=True).collect()}
+    df = docs(spark, rows)
+    got = {r.doc_id: (r.text, r.n_frequent_words, r.kept) for r in quality.quality(df, limit=6).collect()}
     assert got == {**{i: (body, 4, True) for i in range(6)}, 9: ("own words\nend", 4, False), 10: (page, 0, True), 11: (None, 0, False)}
+    texts = {r.doc_id: (r.text, r.n_frequent_words) for r in quality.quality(df, limit=7).collect()}
+    assert texts == {i: (t, 0) for i, t, _ in rows}  # seven documents hold the line, two rows of one count once
+    unnamed = docs(spark, [(None, f"{page}\nn{i}", "h") for i in "abc"])
+    assert [r.n_frequent_words for r in quality.quality(unnamed, limit=2).collect()] == [4 + 60] * 3
+
+
+def brute_lines(rows, run, long_words):
+    """The rule of line dedup, word for word."""
+    seen, out = {}, {}
+    lines = lambda t: [(i, " ".join(WORD.findall(x.lower()))) for i, x in enumerate((t or "").split("\n")) if WORD.search(x)]
+    spans = []
+    for d, t, _ in rows:
+        ls = lines(t)
+        words = lambda part: sum(len(x.split()) for _, x in part)
+        for k in range(1, run + 1):
+            for j in range(len(ls) - k + 1):
+                part = ls[j : j + k]
+                if k == run or words(part) > long_words:
+                    spans.append((d, part, (False, *(x for _, x in part))))
+        if 0 < len(ls) < run and words(ls) <= long_words:
+            spans.append((d, ls, (True, *(x for _, x in ls))))
+    for d, part, key in sorted(spans, key=lambda x: (x[0], x[1][0][0])):
+        if key in seen:
+            out.setdefault(d, set()).update(range(part[0][0], part[-1][0] + 1))
+        seen.setdefault(key, d)
+    return {d: (t and "\n".join(x for i, x in enumerate(t.split("\n")) if i not in out.get(d, ())), len(out.get(d, ()))) for d, t, _ in rows}
+
+
+@pytest.mark.parametrize("run", [2, 3, 5])
+def test_lines_same_as_brute_force(spark, run):
+    g = random.Random(run)
+    pool = [" ".join(g.choice("abcdefghij") for _ in range(g.choice([1, 1, 2, 3, 7]))) for _ in range(12)]
+    rows = [(i, "\n".join(g.choice([*pool, "", " \t", "A  b", f"own {i}"]) for _ in range(g.choice([0, 1, 2, 3, 8, 20]))), "s") for i in range(150)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(docs(spark, rows).repartition(3), run=run, long_words=4).collect()}
+    assert got == brute_lines(rows, run, 4)
+
+
+def test_lines_of_a_very_long_text_and_clashing_columns(spark):
+    body = "\n".join(f"line {i}" for i in range(60_000))
+    df = docs(spark, [(1, body, "a"), (2, body + "\nmine", "a")]).withColumn("n_lines", F.lit(5)).withColumn("mark", F.lit("x"))
+    got = {r.doc_id: r for r in lines.dedup_lines(df, long_words=50).collect()}
+    assert got[1].text == body and (got[2].text, got[2].n_removed, got[2].n_lines, got[2].n_chars, got[2].mark) == ("mine", 60_000, 60_001, 4, "x")
+
+
+def test_mix_numbers_repeats_and_orders_ties(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
+    rows = [(7, f"w{i} " * 5, "a") for i in range(40)] + [(None, f"n{i} " * 5, "a") for i in range(40)] + [(i, "x " * 100, "b") for i in range(20)]
+    df = docs(spark, rows).withColumn("copy", F.lit("clash"))
+    first = sorted((str(r.doc_id), r.text, r.copy) for r in mixing.mixed_documents(df, weights=(3, 1), number="copy").collect())
+    assert first == sorted((str(r.doc_id), r.text, r.copy) for r in mixing.mixed_documents(df.repartition(7), weights=(3, 1), number="copy").collect())
+    assert len(set(first)) == len(first) and {c for _, _, c in first} == {0, 1, 2}
+
+
+def test_language_replaces_columns_of_its_own_names(spark):
+    df = spark.createDataFrame([(1, "ja", "de", "old", 3), (2, "yes", "en", "old", 3)] * 2, "doc_id long, text string, lang string, lang_pred string, score int")
+    model = language.train(df)
+    out = language.identify(df, model, *df.columns)
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and sorted(r.lang_pred for r in out.collect()) == ["de", "de", "en", "en"]
+
+
+def test_language_same_as_plain_scorer(spark):
+    """Every score of the smallest tables, from counts and backoff written out."""
+    import math
+    from collections import Counter
+
+    df = queries.documents(spark, "/root/testdata/sf0.001")
+    rows = [(r.doc_id, r.text, r.lang) for r in df.collect()]
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    counts, longest = {}, 5
+    parts = lambda w, n: [x[i : i + n] for x in [f"\x02{w}\x03" if n > 1 else w] for i in range(len(x) - n + 1)]
+    clean = lambda t: [w for w in ("".join(c for c in w if c.isalpha()) for w in re.findall(r"[^\W\d_]+", (t or "").lower())) if w]
+    for d, t, lang in rows:
+        if t is not None and lang is not None and not held(d):
+            for w in clean(t):
+                for n in range(longest + 1):
+                    counts.setdefault(n, {}).setdefault(lang, Counter()).update([w] if n == 0 else parts(w, n))
+    langs = sorted(counts[0])
+    tables = {n: {lang: {g for g, k in sorted(c[lang].items(), key=lambda x: (-x[1], x[0]))[: 30_000 if n == 0 else 8_000] if k > 1} for lang in langs} for n, c in counts.items()}
+    known = {n: set().union(*t.values()) for n, t in tables.items()}
+    sums = {(n, x): sum(counts[n][x].values()) for n in counts for x in langs}
+    logs = lambda n, g: [math.log(((counts[n][x][g] if g in tables[n][x] else 0) + 0.1) / (sums[n, x] + 0.1 * len(known[n]))) for x in langs]
+
+    @functools.cache
+    def word(w):
+        if w in known[0]:
+            return logs(0, w)
+        for n in range(longest, 0, -1):
+            if found := [logs(n, g) for g in parts(w, n) if g in known[n]]:
+                return [sum(x) / len(found) for x in zip(*found)]
+        return [0.0] * len(langs)
+
+    for r in queries.QUERIES["op1_language_id"](spark, "/root/testdata/sf0.001").collect():
+        ws = clean(next(t for d, t, _ in rows if d == r.doc_id))
+        total = [sum(x) for x in zip(*map(word, ws))] if ws else None
+        best = max(range(len(langs)), key=lambda i: total[i]) if ws else None
+        assert r.lang_pred == (langs[best] if ws else "und")
+        assert abs(r.score - (1 / sum(math.exp(max(-700, x - total[best])) for x in total) if ws else 0)) < 1e-3
+
+
+def test_toxicity_gradients_and_plain_recurrence(spark):
+    """Gradients against differences, and inference against one window, one step, one direction at a time."""
+    net = toxicity.Network({"aa": 1, "bb": 2, "cc": 3}, seed=1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    g = np.random.default_rng(0)
+    tokens = ["aa", "bb", "cc", "dd!", "eeeeeeee"]
+    lengths = np.array([7, 3, 1, 5])
+    ids = g.integers(0, len(tokens), (4, 7))
+    y, weight = np.array([1.0, 0, 1, 0]), np.array([2.0, 1, 2, 1])
+
+    def loss():
+        x, _ = net.inputs(tokens)
+        p = 1 / (1 + np.exp(-net.forward(net.project(x), ids, lengths).astype(np.float64)))
+        return float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / weight.sum())
+
+    x, used = net.inputs(tokens)
+    grads = net.gradients(x, used, net.project(x), ids, lengths, y, weight)
+    for name in ("wx", "wh", "bx", "wa", "va", "wo", "bo", "word", "char"):
+        flat, size = net.p[name].reshape(-1), np.abs(grads[name]).reshape(-1)
+        for i in np.argsort(-size)[:3]:
+            was = flat[i]
+            ends = []
+            for step in (1e-2, -1e-2):
+                flat[i] = was + step
+                ends.append(loss())
+            flat[i] = was
+            slope, want = (ends[0] - ends[1]) / 2e-2, grads[name].reshape(-1)[i]
+            assert abs(slope - want) < 2e-3 + 0.03 * abs(want), (name, slope, want)
+
+    net.p = {k: v.astype(np.float32) for k, v in net.p.items()}
+    table = net.project(net.inputs(tokens)[0])
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    H, order = toxicity.HIDDEN, np.argsort(-lengths)
+    fast = net.infer(np.ascontiguousarray(table[:, 0]), np.ascontiguousarray(table[:, 1]), ids[order], lengths[order])
+    for row, got in zip(order, fast):
+        states = np.zeros((lengths[row], 2 * H))
+        for d, steps in ((0, range(lengths[row])), (1, range(lengths[row] - 1, -1, -1))):
+            h = np.zeros(H)
+            for t in steps:
+                a, b = table[ids[row, t], d].astype(float), h @ net.p["wh"][d]
+                z, r = sig(a[:H] + b[:H]), sig(a[H : 2 * H] + b[H : 2 * H])
+                h = (1 - z) * np.tanh(a[2 * H :] + r * b[2 * H :]) + z * h
+                states[t, d * H : (d + 1) * H] = h
+        e = np.exp(np.tanh(states @ net.p["wa"]) @ net.p["va"])
+        assert abs((e / e.sum()) @ states @ net.p["wo"] + net.p["bo"][0] - got) < 1e-4
+
+
+def test_packing_query_round_trip_at_full_size(spark, monkeypatch):
+    """Every id of every document of the smallest tables, in place, in sequences of 2048."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "PART_ROWS", 2)
+    sf = "/root/testdata/sf0.001"
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    texts = {r.doc_id: r.text for r in queries.documents(spark, sf).collect()}
+    out = queries.QUERIES["op8_best_fit_packing"](spark, sf).toPandas()
+    for i, group in out.groupby("doc_id"):
+        ids, group = tok.encode(texts[i] or "", add_special_tokens=False).ids + [0], group.sort_values("piece")
+        assert list(group.piece) == list(range(len(group))) and (group.length[1:] == 2048).all() and group.length.sum() == len(ids)
+        for start, n, crc in zip(group.start, group.length, group.ids_crc32):
+            assert crc == zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())
+    assert set(out.doc_id) == set(texts)
+    fill = out.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    assert fill.length.sum().max() <= 2048 and all((g.offset == np.concatenate([[0], np.cumsum(g.length)[:-1]])).all() for _, g in fill)
+    assert len(fill) <= -(-int(out.length.sum()) // 2048) + 1
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_same_as_sql(spark, name):
+    from test_oracles import canonical, duck_tables
+
+    got, want = queries.QUERIES[name](spark, "/root/testdata/sf0.001"), duck_tables().sql(queries.ORACLES[name])
+    assert canonical(got.columns, [tuple(r) for r in got.collect()]) == canonical(want.columns, want.fetchall())
+
+
+def test_ids_that_are_no_numbers_and_small_shards(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "ROWS_AT_ONCE", 5)
+    monkeypatch.setattr(anchors, "SHARD", 100)
+    rows = passages(4)
+    df = docs(spark, rows)
+    want = {i: (n, gone, spans, kept) for i, (n, gone, spans, kept) in brute_bytes(rows, 40).items()}
+    cut = suffix.dedup_bytes(df.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).repartition(3), 40)
+    assert {int(r.doc_id[1:]): (r.n_units, sum(s.stop - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in cut.collect()} == want
+    first = {r.doc_id: (r.n_units, sum(s.stop - s.start for s in r.spans), r.kept) for r in substring.dedup_substrings(df.repartition(3), 20).collect()}
+    assert first == brute_words(rows, 20)
+
+
+def test_toxicity_training_rows_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.append(texts) or toxicity.Model(None))
+    rows = [(i, n and "x" * n, "s") for i, n in ((1, 10), (2, 500), (3, 10), (3, 7), (3, 7), (4, 10), (6, None))]
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 9)], "doc_id long, toxic int")
+    held = {r.doc_id for r in labels.filter(language.held_out()).collect()}
+    toxicity.train(docs(spark, rows), labels, characters=40)
+    assert sorted(map(len, seen[0])) == sorted(n for i, n in ((1, 10), (3, 7), (4, 10)) if i not in held)
