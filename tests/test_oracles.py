@@ -12,8 +12,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@pytest.fixture(scope="module")
-def duck():
+def duck_tables():
     con = duckdb.connect()
     con.sql("set timezone = 'UTC'")
     for t in TABLES:
@@ -22,6 +21,11 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return duck_tables()
+
+
 def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     plain = lambda v: tuple(map(plain, v)) if isinstance(v, (list, tuple)) else v
