@@ -35,16 +35,17 @@ def observed_changes(observations: DataFrame) -> DataFrame:
 
 
 def history(value: Column, keys: list[str], *order: Column, n: int = 6) -> Column:
-    """The n values before a row's own, oldest first."""
-    return F.collect_list(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1))
+    """The n values before a row's own, oldest first, null ones included: structs with the one field v."""
+    return F.collect_list(F.struct(value.alias("v"))).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1))
 
 
 def oscillation(past: Column, now: Column) -> Column:
-    """oscillating: seen before and displaced since; confirmed: the same as the last; else unconfirmed."""
-    at = F.array_position(past, now).cast("int")
-    rest = F.slice(past, at + 1, F.size(past))
-    back = (at > 0) & F.exists(rest, lambda x: x != now)
-    return F.when(back, "oscillating").when(F.try_element_at(past, F.lit(-1)) == now, "confirmed").otherwise("unconfirmed")
+    """oscillating: seen before and displaced since; confirmed: the same as the last, if that is known; else unconfirmed."""
+    count = F.size(past)
+    here = F.array_position(F.transform(past, lambda x: x["v"].eqNullSafe(now)), F.lit(True)).cast("int")
+    back = (here > 0) & F.exists(F.slice(past, here + 1, count), lambda x: ~x["v"].eqNullSafe(now))
+    same = F.try_element_at(past, F.lit(-1))["v"] == now
+    return F.when(back, "oscillating").when(same, "confirmed").otherwise("unconfirmed")
 
 
 def trust_state(events: DataFrame) -> DataFrame:
@@ -71,9 +72,16 @@ def rolling_count(events: DataFrame, span: int) -> DataFrame:
 
 def fair_order(items: DataFrame, share: float = 0.30, least: int = 25) -> DataFrame:
     """Items (key, last) that fit the budget, the longest unseen first, never seen before all."""
-    n = items.count()
-    budget = max(least, -int(-(share * n) // 1))
-    return top(items, budget, F.asc_nulls_first("last"), F.asc("key"))
+    budget = items.agg(F.greatest(F.lit(least), F.ceil(F.lit(share) * F.count("*"))).alias("n")).scalar()
+    order = [F.asc_nulls_first("last"), F.asc("key")]
+    # Counted by day first: days that fit go whole, and only rows of the day in which the budget ends are ranked.
+    day = F.coalesce(F.floor(F.col("last") / 86_400_000_000), F.lit(-(2**62)))
+    sums = items.groupBy(day.alias("#day")).agg(F.count("*").alias("#own"))
+    ahead = sums.withColumn("#ahead", F.coalesce(F.sum("#own").over(Window.orderBy("#day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = items.withColumn("#day", day).join(ahead.filter(F.col("#ahead") < budget), "#day")
+    whole = placed.filter(F.col("#ahead") + F.col("#own") <= budget)
+    edge = placed.filter(F.col("#ahead") + F.col("#own") > budget).withColumn("#place", F.col("#ahead") + F.row_number().over(Window.partitionBy("#day").orderBy(*order)))
+    return whole.select(*items.columns).unionByName(edge.filter(F.col("#place") <= budget).select(*items.columns))
 
 
 def claim(queue: DataFrame, n: int, retries: int = 3) -> DataFrame:

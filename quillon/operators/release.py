@@ -48,11 +48,18 @@ def surface(state: Column, category: Column) -> Column:
     )
 
 
-def checks(rows: DataFrame, offending: dict[str, Column]) -> DataFrame:
-    """(check, failures, ok), all counted in one pass over the rows; each check is a condition that no row may meet."""
-    counted = rows.agg(*(F.count_if(c).alias(name) for name, c in offending.items()))
-    listed = F.explode(F.array(*(F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in offending)))
-    return counted.select(listed.alias("c")).select("c.check", "c.failures", (F.col("c.failures") == 0).alias("ok"))
+def checks(rows: DataFrame, offending: dict[str, Column], by: str | None = None) -> DataFrame:
+    """(check, failures, ok), all counted in one pass over the rows; each check is a condition that no row may meet.
+
+    With `by` the same pass also counts the rows of each value of that column, as "by:value", which are no checks.
+    """
+    counts = [F.count_if(c).alias(n) for n, c in offending.items()]
+    partial = rows.groupBy(*([by] if by else [])).agg(F.count("*").alias("#n"), *counts)
+    each = [F.struct(F.lit(n).alias("check"), F.col(n).alias("failures"), F.lit(True).alias("checked")) for n in offending]
+    if by:
+        each.append(F.struct(F.concat(F.lit(f"{by}:"), by).alias("check"), F.col("#n").alias("failures"), F.lit(False).alias("checked")))
+    listed = partial.select(F.explode(F.array(*each)).alias("c")).groupBy("c.check", "c.checked").agg(F.sum("c.failures").alias("failures"))
+    return listed.select("check", "failures", (F.col("checked") & (F.col("failures") == 0)).alias("ok"))
 
 
 def suppressed(row: DataFrame, columns: list[str], keep: Column) -> DataFrame:

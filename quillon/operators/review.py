@@ -85,15 +85,17 @@ def reviewer_note(n_mentions: Column, n_authority: Column, title: Column, catego
     )
 
 
-def resolved_names(asked: DataFrame, held: DataFrame) -> DataFrame:
+def resolved_names(asked: DataFrame, held: DataFrame, most: int = 1000) -> DataFrame:
     """(name, key): names asked for, matched exactly or, if just one held name (key, held) contains it or lies in it, by part.
 
-    asked is one answer's picks, a bounded list that is collected into the plan; held is scanned once.
+    asked is one answer's picks: at most `most` names, which is checked, go to every task, and held is scanned once.
     """
-    names = [r[0] for r in asked.select("name").distinct().collect()]
-    hit = lambda n: (F.lower("held") == n.strip().lower()) | F.contains(F.lower("held"), F.lit(n.strip().lower())) | F.contains(F.lit(n.strip().lower()), F.lower("held"))
-    matched = F.filter(F.array(*(F.when(hit(n), F.struct(F.lit(n).alias("name"), (F.lower("held") == n.strip().lower()).alias("exact"))) for n in names)), lambda x: x.isNotNull())
-    found = held.select("key", F.explode(matched).alias("m")).select("key", "m.name", "m.exact")
+    names = asked.select("name").distinct()
+    if names.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} names in one answer")
+    own, other = F.lower(F.trim("name")), F.lower("held")
+    part = F.contains(other, own) | F.contains(own, other)
+    found = held.join(F.broadcast(names), part).select("key", "name", (own == other).alias("exact"))
     counted = found.groupBy("name").agg(F.count("*").alias("n"), F.min(F.when(F.col("exact"), F.col("key"))).alias("own"), F.min("key").alias("one"))
     return counted.select("name", F.coalesce("own", F.when(F.col("n") == 1, F.col("one"))).alias("key"))
 
@@ -115,17 +117,23 @@ def pick_failures(picks: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def recommends(text: Column, name: Column) -> Column:
-    """Whether a text pushes a firm of that name (6 letters or more): a verb of recommendation within 120 characters."""
+    """Whether a text pushes a firm of that name (6 letters or more): a verb of recommendation within 120 characters of any mention."""
     low, n = F.lower(text), F.lower(F.trim(name))
-    at = F.instr(low, n)
-    start = F.greatest(F.lit(1), at - 120)
-    return F.coalesce((F.length(n) >= 6) & (at > 0) & F.substring(low, start, at - start + F.length(n) + 120).rlike(RECOMMENDS), F.lit(False))
-
-
-def stated_places(goals: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, place): places (place, at least 5 letters) that a goal (id, text) names as a whole word."""
-    words = goals.select("id", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("word"))
-    return words.join(places.filter(F.length("place") >= 5).select("place", F.lower("place").alias("word")).distinct(), "word").select("id", "place")
+    # The mentions part the text; each is looked at with 120 characters of what stands before and after it.
+    parts = F.split(low, F.concat(F.lit("\\Q"), n, F.lit("\\E")))
+    before, after = F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts))
+    around = F.zip_with(before, after, lambda a, b: F.concat(F.right(a, F.lit(120)), n, F.left(b, F.lit(120))))
+    known = (F.length(n) >= 6) & F.contains(low, n)
+    return F.coalesce(F.when(known, F.exists(around, lambda w: w.rlike(RECOMMENDS))), F.lit(False))
+
+
+def stated_places(goals: DataFrame, places: DataFrame, longest: int = 4) -> DataFrame:
+    """(id, place): places (place, at least 5 letters, up to `longest` words) that a goal (id, text) names as whole words."""
+    words = F.filter(F.split(F.lower("text"), "[^\\p{L}\\p{N}_]+"), lambda w: w != "")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(F.col("ws"), lambda _, i: F.array_join(F.slice(F.col("ws"), i + 1, n), " "))))
+    said = goals.select("id", F.explode(F.array(words)).alias("ws")).select("id", F.explode(F.array_distinct(runs)).alias("run"))
+    known = places.filter(F.length("place") >= 5).select("place", F.trim(F.regexp_replace(F.lower("place"), "[^\\p{L}\\p{N}_]+", " ")).alias("run")).distinct()
+    return said.join(known, "run").select("id", "place").distinct()
 
 
 def prose(name: Column, label: Column, place: Column, founded: Column, aum: Column, thesis: Column, sectors: Column) -> Column:

@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a folder of our own where that is unset (local tests)."""
+    """A new path below spark.checkpoint.dir, or below a folder of our own where that is unset and one machine does all the work."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = getattr(spark, "_quillon_tables", None)
         if base is None:

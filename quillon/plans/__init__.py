@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from quillon.plans import captures, ledger, records, retrieval, review  # noqa: F401
+from quillon.plans import captures, frontier, ledger, loading, records, retrieval, review, serving  # noqa: F401

@@ -14,7 +14,7 @@ from quillon.sources import feeds, pages
 
 @query(
     "capture_dedupe",
-    """with c as (select source, doc_id, sha256(concat_ws('|', source, text)) as content_hash from documents), n as (select *, row_number() over (partition by source, content_hash order by doc_id) as k from c)
+    """with c as (select source, doc_id, sha256(coalesce(length(source) || ':' || source, '-') || '|' || coalesce(length(text) || ':' || text, '-')) as content_hash from documents), n as (select *, row_number() over (partition by source, content_hash order by doc_id) as k from c)
     select source, doc_id, content_hash from n where k = 1 and not exists (select 1 from c h where h.doc_id % 10 = 3 and h.source = n.source and h.content_hash = n.content_hash)""",
 )
 def capture_dedupe(spark, sf):
@@ -167,22 +167,40 @@ FILINGS = [
 def formindex_parse(spark, sf):
     from quillon.functions import rules
 
-    filers = feeds.form_filers(spark.createDataFrame(list(enumerate(FILINGS)), "n int, value string"))
+    path = shared_path(spark, "index")
+    spark.createDataFrame([(line,) for line in FILINGS], "value string").coalesce(1).write.text(path)
+    filers = feeds.form_filers(feeds.form_index(spark, path))
     name = F.col("business_name")
     tier = F.when(name.rlike(rules.STRONG_NAME), "strong").when(name.rlike(rules.MEDIUM_NAME) | name.rlike(rules.MEDIUM_SHORT), "medium")
     return filers.withColumn("tier", tier).filter("tier is not null")
 
 
-@query("xml_feed_scan", "select 'S' || s_suppkey as crd, s_name as business_name, s_suppkey as total_employees, case when s_suppkey % 2 = 0 then 'Bill pay | Family office' else '' end as other_text from supplier")
+FIRM_XML = (
+    '<Firm><Info FirmCrdNb="S{k}" SECNb="801-{k}" BusNm="{name}" LegalNm="{name} &amp; Co"/><MainAddr Strt1="{k} Main" City="Troy" State="NY" Cntry="United States" PostlCd="12180" PhNb="555-010-{k}"/><Rgstn FirmType="Registered"/>'
+    '<Filing Dt="2026-01-31"/><FormInfo><Part1A><Item1><WebAddrs><WebAddr>https://firm{k}.example.com</WebAddr><WebAddr>x</WebAddr></WebAddrs></Item1><Item3A OrgFormNm="Corporation"/><Item5A TtlEmp="{k}"/>{other}<Item5D Q5DA1="1" Q5DB1="two" Q5DB3="{k}000"/><Item5F Q5F2C="{k}000000"/></Part1A></FormInfo></Firm>'
+)
+
+
+@query(
+    "xml_feed_scan",
+    """select 'S' || s_suppkey as crd, '801-' || s_suppkey as sec_number, s_name as business_name, s_name || ' & Co' as legal_name, 'Corporation' as org_form, 'https://firm' || s_suppkey || '.example.com' as website, s_suppkey || ' Main' as street1, null::varchar as street2,
+    'Troy' as city, 'NY' as state, 'United States' as country, '12180' as postal_code, '555-010-' || s_suppkey as phone, s_suppkey as total_employees, s_suppkey * 1000000 as raum_total, null::bigint as hnw_clients, s_suppkey * 1000 as hnw_raum, 1::bigint as nonhnw_clients,
+    'Registered' as registration_type, '2026-01-31' as latest_filing_date, case when s_suppkey % 2 = 0 then 'Bill pay | Family office | Tax' else '' end as other_text, 'https://reports.adviserinfo.sec.gov/reports/ADV/S' || s_suppkey || '/PDF/S' || s_suppkey || '.pdf' as source_url from supplier""",
+)
 def xml_feed_scan(spark, sf):
+    """Writes a feed in gzip and plain files, each with a root element, and scans them."""
     path = shared_path(spark, "feed")
     k = F.col("s_suppkey").cast("string")
-    other = F.when(F.col("s_suppkey") % 2 == 0, F.lit('<Item5B Q5BOth="Bill pay"/><Item5G Q5G12Oth="Family office"/>')).otherwise("")
-    row = F.concat(F.lit('<Firm><Info FirmCrdNb="S'), k, F.lit('" BusNm="'), "s_name", F.lit('"/><FormInfo><Part1A><Item5A TtlEmp="'), k, F.lit('"/>'), other, F.lit("</Part1A></FormInfo></Firm>"))
-    # One small document with a root element per file.
-    blocks = table(spark, sf, "supplier").select(row.alias("row"), F.floor(F.col("s_suppkey") / 500).alias("block")).groupBy("block").agg(F.concat(F.lit("<Firms>"), F.array_join(F.collect_list("row"), ""), F.lit("</Firms>")).alias("value"))
-    blocks.write.partitionBy("block").text(path)
-    return feeds.xml_firms(spark, path).select("crd", "business_name", "total_employees", "other_text")
+    other = F.when(F.col("s_suppkey") % 2 == 0, '<Item5B Q5BOth="Bill pay"/><Item5G Q5G12Oth="Family office"/><Item6A Q6AOth="" Q6BOth="Tax"/>').otherwise("")
+    marks = {"{k}": k, "{name}": F.col("s_name"), "{other}": other}
+    import re
+
+    row = F.concat(*(marks.get(p, F.lit(p)) for p in re.split(r"(\{k\}|\{name\}|\{other\})", FIRM_XML) if p))
+    head, tail = F.lit('<?xml version="1.0"?>\n<Firms GenOn="2026">\n'), F.lit("\n</Firms>")
+    blocks = table(spark, sf, "supplier").select(row.alias("row"), F.floor(F.col("s_suppkey") / 500).alias("block")).groupBy("block").agg(F.concat(head, F.array_join(F.collect_list("row"), "\n"), tail).alias("value"))
+    blocks.filter("block % 2 = 0").select("value").write.option("compression", "gzip").text(f"{path}/zipped")
+    blocks.filter("block % 2 = 1").select("value").write.text(f"{path}/plain")
+    return feeds.xml_firms(spark, f"{path}/*")
 
 
 @query("surface_export", "select c_mktsegment as surface, count(*) as n, min(c_name) as first_name, string_agg(distinct n_name, '; ' order by n_name) as states from customer left join nation on c_nationkey = n_nationkey group by 1")

@@ -84,15 +84,15 @@ def observe_stream_equiv(spark, sf):
     return observe.run_to_table(spark, observe.stream_changes(observations(stream)), "observe")
 
 
-
 @query(
     "oscillation_confirm",
-    """with h as (select event_id, user_id, event_type, floor(value / 25)::bigint as cur, coalesce(list(floor(value / 25)::bigint) over (partition by user_id, event_type order by ts, event_id rows between 6 preceding and 1 preceding), []) as past from events)
-    select event_id, case when list_position(past, cur) > 0 and len(list_filter(past[list_position(past, cur) + 1:], lambda x: x <> cur)) > 0 then 'oscillating'
-      when len(past) > 0 and past[-1] = cur then 'confirmed' else 'unconfirmed' end as verdict from h""",
+    """with h as (select event_id, user_id, event_type, case when event_id % 5 > 0 then floor(value / 25)::bigint end as cur, ts from events),
+    p as (select *, coalesce(list(coalesce(cur, -1)) over (partition by user_id, event_type order by ts, event_id rows between 6 preceding and 1 preceding), []) as past, coalesce(cur, -1) as now from h)
+    select event_id, case when list_position(past, now) > 0 and len(list_filter(past[list_position(past, now) + 1:], lambda x: x <> now)) > 0 then 'oscillating'
+      when len(past) > 0 and past[-1] = now and now >= 0 then 'confirmed' else 'unconfirmed' end as verdict from p""",
 )
 def oscillation_confirm(spark, sf):
-    now = F.floor(F.col("value") / 25).cast("long")
+    now = F.when(F.col("event_id") % 5 > 0, F.floor(F.col("value") / 25).cast("long"))
     past = events(spark, sf).withColumn("now", now).withColumn("past", ledger.history(F.col("now"), ["user_id", "event_type"], F.col("ts"), F.col("event_id")))
     return past.select("event_id", ledger.oscillation(F.col("past"), F.col("now")).alias("verdict"))
 

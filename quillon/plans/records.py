@@ -86,7 +86,8 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     human = F.when(k % 8 < 4, cases(k % 5, [(0, "single_family_office"), (1, "multi_family_office"), (2, "embedded_fo_practice"), (3, "wealth_manager")], "not_fo"))
     decided = gated(spark, sf).filter(k % 29 != 7).withColumns({"status": status, "adj_category": human, "duplicate_of": F.when(k % 24 == 1, k - 1), "has_contact": k % 3 == 0})
     ways = release.precedence(F.col("status"), F.col("adj_category"), F.col("duplicate_of"), F.col("has_contact"), F.col("decision") == "affirm", F.col("released"))
-    return decided.withColumns(ways).withColumn("final_category", F.coalesce("adj_category", F.when(F.col("release_basis") == "gate_released", F.col("category"))))
+    kept = keyed.once(decided, ways)
+    return kept.withColumn("final_category", F.coalesce("adj_category", F.when(F.col("release_basis") == "gate_released", F.col("category"))))
 
 
 @query("filters_total_topn", "select c_custkey, c_name, n_name as state, c_acctbal, count(*) over () as total from customer join nation on c_nationkey = n_nationkey where n_name = 'NATION_3' and c_acctbal >= 1000 order by c_acctbal desc nulls last, c_custkey limit 15")
@@ -272,15 +273,13 @@ def contact_overlay(spark, sf):
 def surface_partition_reconcile(spark, sf):
     s = records(spark, sf).withColumn("surface", release.surface(F.col("release_state"), F.col("final_category")))
     qualifies = F.col("release_state") == "qualifying"
-    tested = release.checks(s, {
+    return release.checks(s, {
         "every_record_has_a_surface": F.col("surface").isNull(),
         "qualifying_has_basis": qualifies & F.col("release_basis").isNull(),
         "no_duplicate_qualifies": qualifies & F.col("duplicate_of").isNotNull(),
         "proven_without_contact": (F.col("person_status") == "proven") & ~F.col("has_contact"),
         "qualifying_by_gate_outside_band": (F.col("release_basis") == "gate_released") & ~F.col("released"),
-    })
-    sizes = s.groupBy("surface").agg(F.count("*").alias("failures")).select(F.concat(F.lit("surface:"), "surface").alias("check"), "failures", F.lit(False).alias("ok"))
-    return tested.unionByName(sizes)
+    }, "surface")
 
 
 @query(
@@ -290,15 +289,3 @@ def surface_partition_reconcile(spark, sf):
 def over_inclusion_ratio(spark, sf):
     sums = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("crd")).agg(F.count("*").alias("people"), F.count_if(F.col("o_orderstatus") == "O").alias("principals"))
     return sums.filter((F.col("people") >= 4) & (F.try_divide("principals", "people") >= 0.6))
-
-
-@query(
-    "ratification_filter",
-    f"""with {FIRMS_SQL}, e as (select crd, list_distinct([case when crd % 2 = 0 then 'registry' else 'site' end, case when crd % 3 = 0 then 'registry' else 'press' end]) as classes from firms)
-    select crd, case when crd % 5 = 0 then 'refused' when crd % 4 = 0 and len(classes) < 2 then 'unresolved' when crd % 4 = 0 then 'affirmed' else 'rejected' end as outcome from e""",
-)
-def ratification_filter(spark, sf):
-    k = F.col("crd")
-    classes = F.array_distinct(F.array(F.when(k % 2 == 0, "registry").otherwise("site"), F.when(k % 3 == 0, "registry").otherwise("press")))
-    outcome = F.when(k % 5 == 0, "refused").when((k % 4 == 0) & (F.size(classes) < 2), "unresolved").when(k % 4 == 0, "affirmed").otherwise("rejected")
-    return firms(spark, sf).select("crd", outcome.alias("outcome"))

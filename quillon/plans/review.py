@@ -81,19 +81,21 @@ def answer_gate(spark, sf):
     return review.pick_failures(picks, records)
 
 
-@query("recommendation_check", "select s_suppkey as key, s_suppkey % 3 = 0 as pushes from supplier")
+@query("recommendation_check", "select s_suppkey as key, s_suppkey % 4 in (0, 3) as pushes from supplier")
 def recommendation_check(spark, sf):
     k, pad = F.col("s_suppkey"), "x" * 200
-    text = cases(k % 3, [(0, f"{pad} we suggest Hidden Partners now {pad}"), (1, f"we suggest patience {pad} Hidden Partners is held {pad}")], "Hidden Partners is on file; contact Ada")
-    name = F.when(k % 3 == 2, "Ada").otherwise("Hidden Partners")
+    far = f"we suggest patience {pad} Hidden Partners is held {pad}"
+    text = cases(k % 4, [(0, f"{pad} we suggest Hidden Partners now {pad}"), (1, far), (3, f"{far} and Hidden Partners is worth a look")], "Hidden Partners is on file; contact Ada")
+    name = F.when(k % 4 == 2, "Ada").otherwise("Hidden Partners")
     return table(spark, sf, "supplier").select(k.alias("key"), review.recommends(text, name).alias("pushes"))
 
 
-@query("place_constraints", "select c_custkey as id, p as place from customer, (values ('Chicago', 0), ('Boston', 1), ('Chicago', 2), ('Boston', 2)) v(p, k) where c_custkey % 4 = k")
+@query("place_constraints", "select c_custkey as id, p as place from customer, (values ('Chicago', 0), ('Boston', 1), ('Chicago', 2), ('Boston', 2), ('New York', 3), ('St. Louis', 3)) v(p, k) where c_custkey % 5 = k")
 def place_constraints(spark, sf):
     k = F.col("c_custkey")
-    goals = table(spark, sf, "customer").select(k.alias("id"), cases(k % 4, [(0, "Offices out of Chicago, IN."), (1, "In BOSTON?"), (2, "Chicago or Boston")], "Chicagoland and Ada").alias("text"))
-    return review.stated_places(goals, spark.createDataFrame([("Chicago",), ("Boston",), ("Ada",)], "place string"))
+    said = [(0, "Offices out of Chicago, IN."), (1, "In BOSTON?"), (2, "Chicago or Boston"), (3, "new  york, or St Louis")]
+    goals = table(spark, sf, "customer").select(k.alias("id"), cases(k % 5, said, "Chicagoland, Yorkshire new and Ada").alias("text"))
+    return review.stated_places(goals, spark.createDataFrame([(p,) for p in ("Chicago", "Boston", "Ada", "New York", "St. Louis")], "place string"))
 
 
 @query(

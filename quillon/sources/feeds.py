@@ -18,19 +18,53 @@ FormInfo struct<Part1A: struct<
 """
 
 
+#: Any attribute whose name ends so is free text.
+FREE_TEXT = "//@*[substring(name(), string-length(name()) - 2) = 'Oth']"
+
+
 def xml_firms(spark: SparkSession, path: str) -> DataFrame:
-    """Firms of a registry feed in XML, a row per element; numbers that cannot be read are null."""
-    raw = spark.read.format("xml").option("rowTag", "Firm").schema(T.StructType.fromDDL(FIRM)).load(path)
-    part = F.col("FormInfo.Part1A")
+    """Firms of a registry feed in XML (gzip or plain), a row per element; numbers that cannot be read are null.
+
+    The file is cut at the ends of elements, so that a plain one is read in parallel; each element is parsed once for its
+    fields and, where an attribute that ends in Oth occurs at all, once for those.
+    """
+    raw = spark.read.option("lineSep", "</Firm>").text(path)
+    element = F.concat(F.regexp_extract("value", "(?s)(<Firm[ >/].*)", 1), F.lit("</Firm>"))
+    each = raw.filter(F.col("value").rlike("<Firm[ >/]")).select(F.explode(F.array(element)).alias("x"))
+    firm = each.select("x", F.explode(F.array(F.from_xml("x", FIRM))).alias("f"))
+    part = F.col("f.FormInfo.Part1A")
     number = lambda x: x.try_cast("bigint")
-    return raw.select(
-        F.col("Info._FirmCrdNb").alias("crd"), F.col("Info._BusNm").alias("business_name"), F.col("Info._LegalNm").alias("legal_name"), F.col("MainAddr._City").alias("city"), F.col("MainAddr._State").alias("state"),
-        F.get(part["Item1"]["WebAddrs"]["WebAddr"], 0).alias("website"), F.col("Filing._Dt").alias("latest_filing_date"), F.col("Rgstn._FirmType").alias("registration_type"), part["Item3A"]["_OrgFormNm"].alias("org_form"),
-        number(part["Item5A"]["_TtlEmp"]).alias("total_employees"), number(part["Item5F"]["_Q5F2C"]).alias("raum_total"), number(part["Item5D"]["_Q5DA1"]).alias("nonhnw_clients"), number(part["Item5D"]["_Q5DB1"]).alias("hnw_clients"), number(part["Item5D"]["_Q5DB3"]).alias("hnw_raum"),
-        F.concat_ws(" | ", part["Item5B"]["_Q5BOth"], part["Item5G"]["_Q5G12Oth"]).alias("other_text"),
+    field = lambda c: F.col(f"f.{c}")
+    other = F.when(F.col("x").rlike("Oth *="), F.array_join(F.filter(F.xpath("x", F.lit(FREE_TEXT)), lambda v: v != ""), " | "))
+    crd = field("Info._FirmCrdNb")
+    return firm.select(
+        crd.alias("crd"), field("Info._SECNb").alias("sec_number"), field("Info._BusNm").alias("business_name"), field("Info._LegalNm").alias("legal_name"), part["Item3A"]["_OrgFormNm"].alias("org_form"),
+        F.get(part["Item1"]["WebAddrs"]["WebAddr"], 0).alias("website"), field("MainAddr._Strt1").alias("street1"), field("MainAddr._Strt2").alias("street2"), field("MainAddr._City").alias("city"), field("MainAddr._State").alias("state"),
+        field("MainAddr._Cntry").alias("country"), field("MainAddr._PostlCd").alias("postal_code"), field("MainAddr._PhNb").alias("phone"), number(part["Item5A"]["_TtlEmp"]).alias("total_employees"), number(part["Item5F"]["_Q5F2C"]).alias("raum_total"),
+        number(part["Item5D"]["_Q5DB1"]).alias("hnw_clients"), number(part["Item5D"]["_Q5DB3"]).alias("hnw_raum"), number(part["Item5D"]["_Q5DA1"]).alias("nonhnw_clients"), field("Rgstn._FirmType").alias("registration_type"),
+        field("Filing._Dt").alias("latest_filing_date"), F.coalesce(other, F.lit("")).alias("other_text"), F.concat(F.lit("https://reports.adviserinfo.sec.gov/reports/ADV/"), crd, F.lit("/PDF/"), crd, F.lit(".pdf")).alias("source_url"),
     )
 
 
+def current_feed(spark: SparkSession, path: str, prefix: str) -> DataFrame:
+    """(name): the first file of a manifest, a JSON object with `files`, whose name begins with the prefix."""
+    files = spark.read.option("multiLine", True).schema("files array<struct<name: string>>").json(path)
+    named = F.filter(F.coalesce("files.name", F.array().cast("array<string>")), lambda n: n.startswith(prefix))
+    return files.select(F.get(named, F.lit(0)).alias("name")).filter("name is not null")
+
+
+def form_index(spark: SparkSession, path: str) -> DataFrame:
+    """Lines (n, value) of a quarterly form index, numbered in their order."""
+    return spark.read.text(path).withColumn("n", F.monotonically_increasing_id())
+
+
+def profiles(filings: DataFrame) -> DataFrame:
+    """Filings (key, text) with the fields of their header, and the error where a header has no address block."""
+    parts = submission_profile(F.col("text"))
+    error = F.when(F.coalesce("text", F.lit("")) == "", "empty").when(~F.substring("text", 1, 20_000).contains("BUSINESS ADDRESS:"), "no business address")
+    return filings.select("key", *(c.alias(n) for n, c in parts.items()), error.alias("error"))
+
+
 def form_filers(lines: DataFrame) -> DataFrame:
     """Filers from lines (n, value) of a quarterly form index: the newest filing of each, the first line on a tie."""
     row = "^13F-HR(?:/A)?\\s+(.{1,62}?)\\s{2,}(\\d+)\\s+(\\d{4}-\\d{2}-\\d{2})\\s+(\\S+)"
