@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.plan import once
+
 # Fixed values that results depend on.
 STRONG_NAME = "(?i)\\b((multi[\\s-]?|single[\\s-]?)?family\\s+offices?)\\b"
 MEDIUM_NAME = "(?i)\\bfamily\\s+(capital|wealth|partners|investments?|holdings|advisor|advisors|advisers|group|trust|management|enterprises?)\\b"
@@ -69,14 +71,14 @@ def gate(firms: DataFrame) -> DataFrame:
         "silver_fo_desc": text("profile").rlike(SERVES_FAMILIES) & named,
     })
     c = F.col
-    scored = tested.withColumn("score", sum((F.when(c(r), p).otherwise(0) for r, p in (RULES | AGAINST).items()), F.lit(0)))
+    scored = once(tested, {"score": sum((F.when(c(r), p).otherwise(0) for r, p in (RULES | AGAINST).items()), F.lit(0))})
     core = c("name_fo_strong") | c("site_fo_practice") | c("adv_freetext_fo") | c("site_fo_selfdesc")
     published = c("site_fo_practice") | c("site_fo_selfdesc") | c("domain_fo") | c("silver_fo_desc")
     net = c("score") + F.when(c("retail_scale"), -AGAINST["retail_scale"]).otherwise(0)
     embedded = ~c("name_fo_strong") & c("site_fo_practice") & c("adv_freetext_fo") & ~c("institutional_scale") & (net >= EMBEDDED)
     enough = c("score") >= MORE_EVIDENCE
     step = F.when(~published & core & enough, "hold").when(~core, "weak").when(embedded, "embedded").when(c("score") >= AFFIRM, "affirm").otherwise("weak")
-    stepped = scored.withColumn("#step", step)
+    stepped = once(scored, {"#step": step})
     single = c("#one_family") | (c("name_fo_strong") & (c("#clients") > 0) & (c("#clients") <= 2) & ~c("retail_scale"))
     listed = lambda some: F.filter(F.array(*(F.when(c(r), F.struct(F.lit(r).alias("rule"), F.lit(p).alias("points"))) for r, p in some.items())), lambda x: x.isNotNull())
     return stepped.select(

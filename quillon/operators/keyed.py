@@ -16,13 +16,6 @@ def first_rows(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFr
     return df.withColumn("#n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("#n") <= n)
 
 
-def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """df with columns that are computed once a row: filters on them stay above, instead of being pushed into, and so
-    repeated in, all that they are made of."""
-    held = F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("#once")
-    return df.select(*(c for c in df.columns if c not in columns), held).select("*", "#once.*").drop("#once")
-
-
 def fingerprint(*parts: Column) -> Column:
     """A hash of the parts in which null differs from empty and no part can run into the next."""
     framed = (F.coalesce(F.concat(F.length(p.cast("string")).cast("string"), F.lit(":"), p.cast("string")), F.lit("-")) for p in parts)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import rules
+from quillon.functions.plan import once
 from quillon.operators import contacts, keyed, release
 from quillon.registry import query
 
@@ -77,7 +78,7 @@ def firms(spark: SparkSession, sf: str) -> DataFrame:
 
 def gated(spark: SparkSession, sf: str) -> DataFrame:
     scored = rules.gate(firms(spark, sf))
-    return scored.withColumns(rules.release_band(F.col("decision"), F.col("score"), F.col("share"), F.col("other")))
+    return once(scored, rules.release_band(F.col("decision"), F.col("score"), F.col("share"), F.col("other")))
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +87,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     human = F.when(k % 8 < 4, cases(k % 5, [(0, "single_family_office"), (1, "multi_family_office"), (2, "embedded_fo_practice"), (3, "wealth_manager")], "not_fo"))
     decided = gated(spark, sf).filter(k % 29 != 7).withColumns({"status": status, "adj_category": human, "duplicate_of": F.when(k % 24 == 1, k - 1), "has_contact": k % 3 == 0})
     ways = release.precedence(F.col("status"), F.col("adj_category"), F.col("duplicate_of"), F.col("has_contact"), F.col("decision") == "affirm", F.col("released"))
-    kept = keyed.once(decided, ways)
+    kept = once(decided, ways)
     return kept.withColumn("final_category", F.coalesce("adj_category", F.when(F.col("release_basis") == "gate_released", F.col("category"))))
 
 

@@ -134,12 +134,12 @@ def count_claim_check(spark, sf):
 
 
 @query(
-    "title_rubric_confusion",
+    "document_rule_confusion",
     """with p as (select l.quality as truth, (len(list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) >= 100 and not contains(text, '###'))::int as predicted from labels l join documents d using (doc_id)),
     c as (select count(*) filter (where truth = 1 and predicted = 1) as tp, count(*) filter (where truth = 0 and predicted = 1) as fp, count(*) filter (where truth = 1 and predicted = 0) as fn, count(*) filter (where truth = 0 and predicted = 0) as tn from p)
     select *, tp / nullif(tp + fp, 0) as precision, tp / nullif(tp + fn, 0) as recall, fp / nullif(fp + tn, 0) as fpr, (tp + tn) / nullif(tp + fp + fn + tn, 0) as accuracy from c""",
 )
-def title_rubric_confusion(spark, sf):
+def document_rule_confusion(spark, sf):
     rule = (F.size(words_of(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " "))) >= 100) & ~F.contains("text", F.lit("###"))
     judged = table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id").select(F.col("quality").alias("truth"), rule.cast("int").alias("predicted"))
     return retrieval.confusion(judged)
