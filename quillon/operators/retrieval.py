@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +14,12 @@ from quillon.functions.text import emails_in
 from quillon.functions.vectors import cosine_distance, doubles
 from quillon.operators.keyed import first_rows
 
+# Constants of fusion and ranking, and what states a count of records in lower-cased prose.
 RRF_K, POOL, FLOOR = 60, 20, 0.64
-#: Queries that a record is compared with at once.
-BLOCK = 256
+COUNT_AFTER = "\\b(\\d{1,3})\\s+(?:\\*\\*)?(?:family off|multi-family|record|firm|result|match)"
+COUNT_BEFORE = "(?:there are|a total of|count of|found)\\s+(?:\\*\\*)?(\\d{1,3})"
+#: Queries that a record is compared with at once, and up to how many queries go to every task as one matrix.
+BLOCK, MATRIX = 256, 16_384
 WEIGHTS = {"semantic": 0.35, "sector": 0.25, "confidence": 0.15, "reachability": 0.15, "signals": 0.10}
 
 
@@ -27,27 +34,73 @@ def distances(index: DataFrame, queries: DataFrame) -> DataFrame:
     return each.select(F.col("q.query").alias("query"), "id", cosine_distance(F.col("v"), F.col("q.qv")).alias("distance"))
 
 
+def _nearest(names: np.ndarray, matrix: np.ndarray, n: int, item: str):
+    """Of each task's records: those among the n nearest of a query there, give or take rounding, with both vectors."""
+    lists = pa.list_(pa.float64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(names), 0), np.inf)
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = batch.column("vector").cast(lists).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            norm = np.sqrt((x * x).sum(axis=1))
+            far = 1 - matrix @ (x / np.where(norm == 0, 1, norm)[:, None]).T
+            best = np.concatenate([best, far], axis=1)
+            if best.shape[1] > n:
+                best = np.partition(best, n - 1, axis=1)[:, :n]
+            limit = best.max(axis=1) if best.shape[1] == n else np.full(len(names), np.inf)
+            q, i = np.nonzero((far <= limit[:, None] + 1e-9) & (norm > 0)[None, :])
+            out = [pa.array(names[q]), batch.column("id").take(pa.array(i)), batch.column("vector").take(pa.array(i))]
+            yield pa.RecordBatch.from_arrays(out, ["query", "id", "vector"])
+
+    return run
+
+
 def dense(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
-    """(query, id, distance, rank): the n nearest of each query; each task keeps n before anything is shuffled."""
-    return first_rows(distances(index, queries), ["query"], n, F.asc("distance"), F.asc("id")).withColumnRenamed("#n", "rank")
-
-
-def lexical(docs: DataFrame, queries: dict[int, list[str]], n: int = POOL) -> DataFrame:
-    """(query, id, score, rank) of documents (id, text) that hold all terms of a query."""
-    # A term that is not even a substring is no term: most texts are passed over before they are cut into words.
-    low, possible = F.lower("text"), F.lit(False)
-    for terms in queries.values():
-        every = F.lit(True)
-        for term in terms:
-            every = every & F.contains(low, F.lit(term))
-        possible = possible | every
-    words = docs.filter(possible).select("id", F.explode(F.array(search.terms(F.col("text")))).alias("ws"))
-    found = []
-    for q, terms in queries.items():
-        every, score = search.match_score(F.col("ws"), terms)
-        found.append(F.when(every, F.struct(F.lit(q).alias("query"), score.alias("score"))))
-    hits = words.select("id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("h")).select("h.query", "id", "h.score")
-    return first_rows(hits, ["query"], n, F.desc("score"), F.asc("id")).withColumnRenamed("#n", "rank")
+    """(query, id, distance, rank): the n nearest of each query; each task keeps what may be among them before anything is shuffled.
+
+    Up to MATRIX queries, which is checked, go to all tasks as one matrix, and exact distances are taken of what passes;
+    more are compared block by block.
+    """
+    held = queries.select("query", doubles(F.col("vector")).alias("qv")).limit(MATRIX + 1).collect()
+    widths = {len(r["qv"]) for r in held}
+    if not held or len(held) > MATRIX or len(widths) > 1:
+        far = distances(index, queries)
+    else:
+        matrix = np.array([r["qv"] for r in held])
+        matrix = matrix / np.maximum(np.sqrt((matrix * matrix).sum(axis=1)), 1e-300)[:, None]
+        kinds = dict(index.dtypes)
+        same = index.filter(F.size("vector") == widths.pop()).select("id", "vector")
+        shape = f"query {dict(queries.dtypes)['query']}, id {kinds['id']}, vector {kinds['vector']}"
+        near = same.mapInArrow(_nearest(np.array([r["query"] for r in held]), matrix, n, kinds["vector"]), shape)
+        asked = queries.select("query", doubles(F.col("vector")).alias("qv"))
+        far = near.join(asked, "query").select("query", "id", cosine_distance(doubles(F.col("vector")), F.col("qv")).alias("distance"))
+    return first_rows(far, ["query"], n, F.asc("distance"), F.asc("id")).withColumnRenamed("#n", "rank")
+
+
+def in_scope(ranked: DataFrame, floor: float = FLOOR) -> DataFrame:
+    """(query, nearest, in_scope) from ranked records: a query whose nearest is farther than the floor is refused."""
+    return ranked.groupBy("query").agg(F.min("distance").alias("nearest")).withColumn("in_scope", F.col("nearest") <= floor)
+
+
+def inverted_index(docs: DataFrame) -> DataFrame:
+    """(term, id, tf): how often each stemmed term stands in each document (id, text)."""
+    words = docs.select("id", F.explode(search.terms(F.col("text"))).alias("word")).groupBy("id", "word").agg(F.count("*").alias("n"))
+    return words.groupBy(search.stem(F.col("word")).alias("term"), "id").agg(F.sum("n").alias("tf"))
+
+
+def lexical(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
+    """(query, id, score, rank) of documents that hold all terms of a query (query, text), stemmed; a query without terms finds nothing.
+
+    index is (term, id, tf); only rows of a query's terms are read on. The score is the sum of 1 + ln of each frequency,
+    taken as the logarithm of their product, which is exact, so that equal scores are equal.
+    """
+    asked = queries.select("query", F.explode(F.array_distinct(search.terms(F.col("text")))).alias("word")).select("query", search.stem(F.col("word")).alias("term")).distinct()
+    sizes = asked.groupBy("query").agg(F.count("*").alias("size"))
+    hits = index.join(asked, "term").groupBy("query", "id").agg(F.count("*").alias("matched"), F.product("tf").alias("p"))
+    every = hits.join(sizes, "query").filter("matched = size").select("query", "id", (F.col("size") + F.ln("p")).alias("score"), "p")
+    return first_rows(every, ["query"], n, F.desc("p"), F.asc("id")).drop("p").withColumnRenamed("#n", "rank")
 
 
 def fused(vector: DataFrame, words: DataFrame, k: int = 10) -> DataFrame:
@@ -60,11 +113,6 @@ def fused(vector: DataFrame, words: DataFrame, k: int = 10) -> DataFrame:
     return first_rows(scored, ["query"], k, F.desc("score"), F.asc_nulls_last("v"), F.asc_nulls_last("l")).select("query", "id", F.col("#n").alias("rank"), matched.alias("matched"))
 
 
-def in_scope(index: DataFrame, queries: DataFrame, floor: float = FLOOR) -> DataFrame:
-    """(query, nearest, in_scope): a query whose nearest record is farther than the floor is refused."""
-    return distances(index, queries).groupBy("query").agg(F.min("distance").alias("nearest")).withColumn("in_scope", F.col("nearest") <= floor)
-
-
 def fit(records: DataFrame, mandate: list[float], sectors: list[str], today: Column) -> DataFrame:
     """Score and evidence tier of records (id, vector, sectors, prose, confidence, reachability, signal_date) for a mandate.
 
@@ -97,8 +145,7 @@ def ungrounded_emails(answers: DataFrame, allowed: DataFrame) -> DataFrame:
 def count_claims(text: Column) -> Column:
     """Numbers that a text states as a count of records."""
     low = F.lower(text)
-    after = F.regexp_extract_all(low, F.lit("\\b(\\d{1,3})\\s+(?:\\*\\*)?(?:family off|multi-family|record|firm|result|match)"), F.lit(1))
-    before = F.regexp_extract_all(low, F.lit("(?:there are|a total of|count of|found)\\s+(?:\\*\\*)?(\\d{1,3})"), F.lit(1))
+    after, before = (F.regexp_extract_all(low, F.lit(p), F.lit(1)) for p in (COUNT_AFTER, COUNT_BEFORE))
     return F.transform(F.concat(after, before), lambda x: x.cast("int"))
 
 

@@ -28,3 +28,13 @@ def settled(rows: DataFrame, name: str) -> DataFrame:
     path = shared_path(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def kept(spark: SparkSession, key: str, build) -> DataFrame:
+    """A table that is built once a session and read after that: an index, which outlives the queries over it."""
+    tables = getattr(spark, "_quillon_kept", None)
+    if tables is None:
+        tables = spark._quillon_kept = {}
+    if key not in tables:
+        tables[key] = settled(build(), "kept")
+    return tables[key]

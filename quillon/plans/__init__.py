@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from quillon.plans import captures, evaluation, frontier, ledger, loading, publishing, records, retrieval, review, serving  # noqa: F401
+from quillon.plans import answers, captures, evaluation, frontier, ledger, loading, publishing, records, retrieval, review, serving  # noqa: F401

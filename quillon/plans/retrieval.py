@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillon.functions import dates, search
 from quillon.functions.text import words_of
 from quillon.operators import keyed, retrieval
+from quillon.operators.storage import kept
 from quillon.plans.records import cases, table
 from quillon.registry import query
 
@@ -16,25 +17,31 @@ def index(spark, sf):
 
 
 def asked(spark, sf):
-    """A stated set of five query vectors."""
-    return table(spark, sf, "embeddings").filter(F.col("vec_id").isin(1, 2, 3, 5, 8)).select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    """The query set of searches: every vector whose number is divisible by 50."""
+    return table(spark, sf, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
 
 
 def documents(spark, sf):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-DISTANCE_SQL = "d as (select q.vec_id as query, e.vec_id as id, list_cosine_distance(q.embedding::double[], e.embedding::double[]) as distance from embeddings e, embeddings q where q.vec_id in (1, 2, 3, 5, 8))"
+DISTANCE_SQL = "d as (select q.vec_id as query, e.vec_id as id, list_cosine_distance(q.embedding::double[], e.embedding::double[]) as distance from embeddings e, embeddings q where q.vec_id % 50 = 0)"
 DENSE_SQL = f"{DISTANCE_SQL}, v as (select query, id, row_number() over (partition by query order by distance, id) as rank from d qualify rank <= 20)"
-TERMS = {1: ["thing", "here"], 2: ["die", "und"], 3: ["tion"], 5: ["and", "thin"], 8: ["que", "de", "le"]}
-_QUERIES = " union all ".join(f"select {q} as query, [{', '.join(repr(t) for t in ts if t not in search.STOPWORDS)}] as ts" for q, ts in TERMS.items())
-LEXICAL_SQL = f"""w as (select doc_id as id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '' and not list_contains([{', '.join(map(repr, search.STOPWORDS))}], x)) as ws from documents),
-lq as ({_QUERIES}), ls as (select query, id, list_transform(ts, lambda t: len(list_filter(ws, lambda x: x = t))) as ns from w, lq),
-l as (select query, id, row_number() over (partition by query order by list_aggregate(ns, 'product') desc, id) as rank from ls where list_min(ns) > 0 qualify rank <= 20)"""
+_SINGLE = "case when w like '%sses' then left(w, len(w) - 2) when w like '%ies' and len(w) > 4 then left(w, len(w) - 3) || 'y' when w like '%s' and len(w) > 3 and not regexp_matches(w, '[sui]s$') then left(w, len(w) - 1) else w end"
+_STEM = "case when e <> '' and len(s) - len(e) >= 3 then left(s, len(s) - len(e)) else s end"
+LEXICAL_SQL = f"""t as (select doc_id as id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '' and not list_contains([{', '.join(map(repr, search.STOPWORDS))}], x))) as w from documents),
+u as (select id, {_STEM} as term from (select id, s, regexp_extract(s, '^.*[aeiouy].*[a-z0-9](ing|ed|ly)$', 1) as e from (select id, {_SINGLE} as s from t))), ix as (select term, id, count(*) as tf from u group by 1, 2),
+qt as (select query, unnest(list_filter(regexp_split_to_array(lower(said), '[^a-z0-9]+'), lambda x: x <> '' and not list_contains([{', '.join(map(repr, search.STOPWORDS))}], x))) as w from (select doc_id as query, array_to_string(string_split(text, ' ')[3:5], ' ') as said from documents where doc_id % 50 = 0)),
+lq as (select distinct query, {_STEM} as term from (select query, s, regexp_extract(s, '^.*[aeiouy].*[a-z0-9](ing|ed|ly)$', 1) as e from (select query, {_SINGLE} as s from qt))), lz as (select query, count(*) as size from lq group by 1),
+lh as (select query, id, count(*) as matched, product(tf) as p from ix join lq using (term) group by 1, 2),
+l as (select lh.query, id, row_number() over (partition by lh.query order by p desc, id) as rank from lh join lz on lh.query = lz.query where matched = size qualify rank <= 20)"""
 
 
 def lexical(spark, sf):
-    return retrieval.lexical(documents(spark, sf), {q: [t for t in ts if t not in search.STOPWORDS] for q, ts in TERMS.items()})
+    """Three words of every document whose number is divisible by 50, looked for in the index of all documents."""
+    docs = documents(spark, sf)
+    said = docs.filter("id % 50 = 0").select(F.col("id").alias("query"), F.array_join(F.slice(F.split("text", " "), 3, 3), " ").alias("text"))
+    return retrieval.lexical(kept(spark, f"terms of {sf}", lambda: retrieval.inverted_index(docs)), said)
 
 
 @query("dense_topk", f"with {DENSE_SQL} select query, id, rank from v")
@@ -44,8 +51,13 @@ def dense_topk(spark, sf):
 
 @query("scope_floor", f"with {DISTANCE_SQL} select query, floor(min(distance) * 1e6)::bigint as nearest_millionths, min(distance) <= 0.64 as in_scope from d where id <> query group by query")
 def scope_floor(spark, sf):
-    far = retrieval.distances(index(spark, sf), asked(spark, sf)).filter("id <> query").groupBy("query").agg(F.min("distance").alias("nearest"))
-    return far.select("query", F.floor(F.col("nearest") * 1e6).cast("long").alias("nearest_millionths"), (F.col("nearest") <= retrieval.FLOOR).alias("in_scope"))
+    others = retrieval.dense(index(spark, sf), asked(spark, sf), 2).filter("id <> query")
+    return retrieval.in_scope(others).select("query", F.floor(F.col("nearest") * 1e6).cast("long").alias("nearest_millionths"), "in_scope")
+
+
+@query("term_index", f"with {LEXICAL_SQL.split('qt as')[0].rstrip().rstrip(',')} select term, count(*) as documents, sum(tf)::bigint as total from ix group by 1")
+def term_index(spark, sf):
+    return retrieval.inverted_index(documents(spark, sf)).groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("total"))
 
 
 @query("lexical_and_rank", f"with {LEXICAL_SQL} select query, id, rank from l")
@@ -118,7 +130,7 @@ def grounding_email_anti(spark, sf):
     return retrieval.ungrounded_emails(documents(spark, sf), trusted)
 
 
-CLAIM = "case doc_id % 4 when 0 then 'There are 12 family offices here.' when 1 then 'A total of **7** and 12 records match.' when 2 then 'Found 12. 3. No list.' else substr(text, 1, 400) end"
+CLAIM = "case doc_id % 4 when 0 then 'There are 12 family offices here.' when 1 then 'A total of **7** and 12 records match.' when 2 then 'Found 12. 3. No list.' else text end"
 
 
 @query(
