@@ -62,9 +62,9 @@ def export(records: DataFrame, signals: DataFrame, path: str) -> dict[str, str]:
         if columns is PRODUCT_COLUMNS:
             shown.append(F.coalesce("summary", F.lit("no recent signal found")).alias("Recent Signals"))
         # A range sort: files are in order, and no task holds a whole surface.
-        sorted_rows.orderBy(*order).select(*shown).write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        sorted_rows.orderBy(*order).select(*shown).write.mode("overwrite").option("header", True).option("escape", "\"").csv(f"{path}/{name}")
         out[name] = f"{path}/{name}"
-    signals.orderBy("crd", F.desc("date")).write.mode("overwrite").option("header", True).csv(f"{path}/signals")
+    signals.orderBy("crd", F.desc("date")).write.mode("overwrite").option("header", True).option("escape", "\"").csv(f"{path}/signals")
     return out | {"signals": f"{path}/signals"}
 
 

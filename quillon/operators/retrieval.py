@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quillon.functions import dates, search
 from quillon.functions.text import emails_in
@@ -34,7 +35,7 @@ def distances(index: DataFrame, queries: DataFrame) -> DataFrame:
     return each.select(F.col("q.query").alias("query"), "id", cosine_distance(F.col("v"), F.col("q.qv")).alias("distance"))
 
 
-def _nearest(names: np.ndarray, matrix: np.ndarray, n: int, item: str):
+def _nearest(names: pa.Array, matrix: np.ndarray, n: int):
     """Of each task's records: those among the n nearest of a query there, give or take rounding, with both vectors."""
     lists = pa.list_(pa.float64())
 
@@ -51,7 +52,7 @@ def _nearest(names: np.ndarray, matrix: np.ndarray, n: int, item: str):
                 best = np.partition(best, n - 1, axis=1)[:, :n]
             limit = best.max(axis=1) if best.shape[1] == n else np.full(len(names), np.inf)
             q, i = np.nonzero((far <= limit[:, None] + 1e-9) & (norm > 0)[None, :])
-            out = [pa.array(names[q]), batch.column("id").take(pa.array(i)), batch.column("vector").take(pa.array(i))]
+            out = [names.take(pa.array(q)), batch.column("id").take(pa.array(i)), batch.column("vector").take(pa.array(i))]
             yield pa.RecordBatch.from_arrays(out, ["query", "id", "vector"])
 
     return run
@@ -72,8 +73,9 @@ def dense(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
         matrix = matrix / np.maximum(np.sqrt((matrix * matrix).sum(axis=1)), 1e-300)[:, None]
         kinds = dict(index.dtypes)
         same = index.filter(F.size("vector") == widths.pop()).select("id", "vector")
+        names = pa.array([r["query"] for r in held], to_arrow_type(queries.schema["query"].dataType))
         shape = f"query {dict(queries.dtypes)['query']}, id {kinds['id']}, vector {kinds['vector']}"
-        near = same.mapInArrow(_nearest(np.array([r["query"] for r in held]), matrix, n, kinds["vector"]), shape)
+        near = same.mapInArrow(_nearest(names, matrix, n), shape)
         asked = queries.select("query", doubles(F.col("vector")).alias("qv"))
         far = near.join(asked, "query").select("query", "id", cosine_distance(doubles(F.col("vector")), F.col("qv")).alias("distance"))
     return first_rows(far, ["query"], n, F.asc("distance"), F.asc("id")).withColumnRenamed("#n", "rank")
