@@ -88,8 +88,10 @@ def in_scope(ranked: DataFrame, floor: float = FLOOR) -> DataFrame:
 
 def inverted_index(docs: DataFrame) -> DataFrame:
     """(term, id, tf): how often each stemmed term stands in each document (id, text)."""
-    words = docs.select("id", F.explode(search.terms(F.col("text"))).alias("word")).groupBy("id", "word").agg(F.count("*").alias("n"))
-    return words.groupBy(search.stem(F.col("word")).alias("term"), "id").agg(F.sum("n").alias("tf"))
+    # Words are exploded before they are tested, as that is compiled and a function over an array is not.
+    words = docs.select("id", F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word")).filter((F.col("word") != "") & ~F.col("word").isin(search.STOPWORDS))
+    counted = words.groupBy("id", "word").agg(F.count("*").alias("n"))
+    return counted.groupBy(search.stem(F.col("word")).alias("term"), "id").agg(F.sum("n").alias("tf"))
 
 
 def lexical(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
