@@ -156,7 +156,8 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     placed = members.join(sizes.select("group", many.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("group", "node", "label", "set", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    return paired.groupBy("group", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
+    # Dealt by pairs of blocks, or all pairs of a large group would be one task's.
+    return paired.repartition("group", "lo", "hi").groupBy("group", "lo", "hi").applyInArrow(_compare(percent), "a long, b long")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
