@@ -80,9 +80,10 @@ def dedup_lines(docs: DataFrame, run: int = 3, long_words: int | None = None) ->
     """
     prints = settle(fingerprints(docs, run, long_words))
     places = prints.select("print", "doc_id", "mark", "place").distinct().groupBy("print").count().filter("count > 1")
-    windows = extended(prints.join(places, "print", "left_semi"), run, long_words)
+    windows = settle(extended(prints.join(places, "print", "left_semi"), run, long_words))
     place = F.struct("doc_id", "mark", "first")
-    firsts = windows.groupBy("one", "two").agg(F.min(place).alias("origin"), F.max(place).alias("end")).filter("not origin <=> end").drop("end")
+    # Written out, so that the join below reads it as it stands and a window that very many texts hold can be split.
+    firsts = settle(windows.groupBy("one", "two").agg(F.min(place).alias("origin"), F.max(place).alias("end")).filter("not origin <=> end").drop("end"))
     later = windows.join(firsts, ["one", "two"]).filter(~place.eqNullSafe(F.col("origin")))
     runs = later.groupBy("doc_id", "mark").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))).alias("#gone")).withColumnRenamed("mark", "#mark")
     joined = match(docs.drop("n_lines", "n_removed").withColumn("#mark", F.xxhash64("text")), runs, ["doc_id", "#mark"], "left").withColumn("#lines", F.explode(F.array(F.split("text", "\n"))))
