@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import WORD_SPLIT, settle
 
 #: A range of the random key holds about so many rows at most; its hexadecimal digits follow from the number of rows.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
