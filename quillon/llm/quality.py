@@ -82,7 +82,7 @@ def quality(docs: DataFrame, host: str = "source", limit: int = 50, depleted: fl
     joined = match(base, share, rows, "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > F.lit(int(100 * max_repeat)) * F.col("n_words"))
     emptied = F.coalesce(F.col("n_frequent"), F.lit(0)) > depleted * F.col("n_words")
-    # explode() of one element: the text is cut into lines once, not once for each stretch that stays.
-    cut = joined.withColumn("#lines", F.explode(F.array(F.split("text", "\n"))))
-    text = F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(without(F.col("#lines"), F.col("at")), "\n"))
-    return cut.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent_words"), failed.alias("base_failed"), (~failed & ~emptied).alias("kept"), text.alias("text"))
+    # A function over an array of one text cuts it into lines once, and only where the text is asked for.
+    rest = F.transform(F.array(F.split("text", "\n")), lambda lines: without(lines, F.col("at")))[0]
+    text = F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent_words"), failed.alias("base_failed"), (~failed & ~emptied).alias("kept"), text.alias("text"))
