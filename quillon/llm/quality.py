@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD_SPLIT, match, without
+from quillon.llm.common import WORD_SPLIT, match, settle, without
 
 _SPACES = "\t\n\x0b\x0c\r"
 #: Up to so many distinct repeated windows a text is searched by list, beyond that by sorting.
@@ -52,7 +52,9 @@ def frequent_lines(docs: DataFrame, host: str, limit: int) -> DataFrame:
     lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.col(host).alias("host"), line)
     normal = lines.select("doc_id", "mark", "host", "at", normal_line(F.col("line")).alias("line")).filter("line <> ''")
     # Two hashes, as a line is removed by them alone.
-    hashed = normal.select("doc_id", "mark", "host", "at", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("hash2"), F.size(F.split("line", " ")).cast("long").alias("words"))
+    spaces = F.length("line") - F.length(F.translate("line", " ", ""))
+    hashed = normal.select("doc_id", "mark", "host", "at", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("hash2"), (spaces + 1).cast("long").alias("words"))
+    hashed = settle(hashed)  # read twice, and much less than the texts
     # Rows that repeat a document count once; documents without a doc_id are told apart by their text.
     unnamed = F.when(F.col("doc_id").isNull(), F.col("mark"))
     by_document = hashed.groupBy("host", "hash", "hash2", "doc_id", unnamed).agg(F.count("*").alias("n"))
