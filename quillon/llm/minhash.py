@@ -255,7 +255,8 @@ def _judged(docs: DataFrame, words: int, percent: int, keep: tuple[str, ...] = (
             labels = joined_by(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
     discard(members, sets)
     joined = classes.join(labels, "node", "left").select("set1", "set2", "first_id", F.coalesce("label", "node").alias("label"))
-    least = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    # Written out, so that the join below can split a component that holds very many classes.
+    least = settle(joined.groupBy("label").agg(F.min("first_id").alias("component_id")))
     of_class = joined.join(least, "label").select("set1", "set2", "component_id", "label")
     out = signed.select("doc_id", "n_shingles", "set1", "set2", *keep).join(of_class, ["set1", "set2"], "left")
     return out.select("doc_id", "n_shingles", "component_id", "label", *keep)
