@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillon.functions import dates
-from quillon.operators import loading
+from quillon.functions import dates, text
+from quillon.operators import keyed, loading
 from quillon.operators.release import suppressed
 from quillon.operators.storage import shared_path
 from quillon.plans.records import FIRMS_SQL, cases, records, table
@@ -163,3 +163,29 @@ def facts_compared(spark, sf):
 def contact_suppression(spark, sf):
     rows = records(spark, sf).select("crd", F.col("name").alias("contact_name"), F.col("domain").alias("contact_domain"), "state", "person_status")
     return suppressed(rows, ["contact_name", "contact_domain"], F.col("person_status") == "proven").drop("person_status")
+
+
+@query(
+    "text_keys",
+    """with x as (select c_custkey as key, '+1 (555) 010-' || lpad((c_custkey % 10000)::varchar, 4, '0') as phone, case when c_custkey % 5 = 0 then '13/40/2026' else (1 + c_custkey % 12) || '/' || (1 + c_custkey % 28) || '/2026' end as day, c_name || ' & Co., ' || c_mktsegment as name from customer)
+    select key, case when key % 3 > 0 then right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) end as phone, case when key % 5 > 0 then '2026-' || lpad((1 + key % 12)::varchar, 2, '0') || '-' || lpad((1 + key % 28)::varchar, 2, '0') end as day, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) as folded from x""",
+)
+def text_keys(spark, sf):
+    k = F.col("c_custkey")
+    phone = F.when(k % 3 > 0, F.concat(F.lit("+1 (555) 010-"), F.lpad((k % 10000).cast("string"), 4, "0"))).otherwise("010-1")
+    day = F.when(k % 5 == 0, "13/40/2026").otherwise(F.concat_ws("/", 1 + k % 12, 1 + k % 28, F.lit("2026")))
+    name = F.concat("c_name", F.lit(" & Co., "), "c_mktsegment")
+    return table(spark, sf, "customer").select(k.alias("key"), text.phone_digits(phone).alias("phone"), dates.iso_date(day).alias("day"), text.fold(name).alias("folded"))
+
+
+@query(
+    "roster_refresh",
+    """with f as (select o_orderkey as person, o_custkey as key, o_orderstatus as title from orders where o_custkey % 4 > 0), h as (select c_custkey as key, 'A' as grade from customer where c_custkey % 3 = 0)
+    select person, f.key, title, grade from f left join h using (key) where f.key in (select s_suppkey from supplier)""",
+)
+def roster_refresh(spark, sf):
+    """A fresh roster keeps the grades that were verified before, and nobody whose firm is gone."""
+    fresh = table(spark, sf, "orders").filter("o_custkey % 4 > 0").select(F.col("o_orderkey").alias("person"), F.col("o_custkey").alias("key"), F.col("o_orderstatus").alias("title"))
+    held = table(spark, sf, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("key"), F.lit("A").alias("grade"))
+    firms = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"))
+    return keyed.keep_children(keyed.preserve(fresh, held, ["key"], ["grade"]), firms, ["key"])
