@@ -117,3 +117,35 @@ r as (
 select d.doc_id, len(d.ws)::bigint as n_words, coalesce(r.n_removed, 0)::bigint as n_removed, sha256(coalesce(r.kept, '')) as kept_sha256
 from d left join r using (doc_id)
 """
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Each round: the nearest entry for each part of each vector, then the floor of the mean of what it is nearest to."""
+    near = """
+a{n} as materialized (
+  select row, part, entry, far from (
+    select c.row, c.part, k.entry, sum((c.x - k.x) * (c.x - k.x))::bigint as far, row_number() over (partition by c.row, c.part order by sum((c.x - k.x) * (c.x - k.x)), k.entry) as nth
+    from cells c join k{n} k on c.part = k.part and c.pos = k.pos group by c.row, c.part, k.entry)
+  where nth = 1),"""
+    step = """
+k{m} as materialized (
+  select k.part, k.entry, k.pos, coalesce(((s.x - ((s.x % s.n) + s.n) % s.n) // s.n)::bigint, k.x) as x
+  from k{n} k left join (select a.part, a.entry, c.pos, sum(c.x) as x, count(*) as n from a{n} a join cells c on a.row = c.row and a.part = c.part group by all) s
+    on k.part = s.part and k.entry = s.entry and k.pos = s.pos),"""
+    turns = "".join(near.format(n=n) + step.format(n=n, m=n + 1) for n in range(rounds)) + near.format(n=rounds)
+    return f"""
+with v as materialized (
+  select row_number() over (order by vec_id nulls last, embedding) as row, vec_id, label, embedding::double[] as v from embeddings
+  where embedding is not null and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)),
+cells as materialized (
+  select row, (i - 1) // (n // {parts}) as part, (i - 1) % (n // {parts}) as pos, floor({scale} * v[i])::bigint as x
+  from (select row, v, len(v) as n, unnest(generate_series(1, len(v))) as i from v)),
+k0 as materialized (select part, row - 1 as entry, pos, x from cells where row <= {entries}),{turns}
+e as (select row, string_agg(printf('%02x', entry::int), '' order by part) as code, sum(far)::bigint as error from a{rounds} group by row),
+h as (select sha256(string_agg(x::varchar, ',' order by part, entry, pos)) as codebooks_sha256 from k{rounds})
+select v.vec_id, e.code, e.error, sum(e.error) over (partition by v.label)::bigint as label_error, h.codebooks_sha256
+from v join e on v.row = e.row cross join h
+"""
+
+
+CODES = _codes()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
+from quillon.llm import codes, common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op11_vector_codes", oracles.CODES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.ship_package(spark)
+    return codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=8, entries=16, rounds=6, scale=4096)
