@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import codes, common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
+from quillon.llm import bpe, codes, common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks() -> tuple[str, str]:
+    """The file of ranks of op12, and the pattern that cuts texts before it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def query(name: str, sql: str | None = None):
     def add(run):
         QUERIES[name] = run
@@ -96,3 +103,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.ship_package(spark)
     return codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), *ranks()), *ranks())
+    n_tokens = F.expr("octet_length(ids) div 4")
+    return coded.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
