@@ -149,3 +149,41 @@ from v join e on v.row = e.row cross join h
 
 
 CODES = _codes()
+
+CASCADE = r"""
+with recursive crc as (
+  select list(n order by i) as t from (
+    select i, list_reduce(list_prepend(i, generate_series(1, 8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as n
+    from (select unnest(generate_series(0, 255))::bigint as i))),
+r as (
+  select row_number() over () as id, conv_id, turn, encode(coalesce(text, '')) as b, coalesce(conv_id::varchar, '') || ':' || coalesce(turn::varchar, '') as name from conversations),
+m as (select id, 9 as k, b from r union all select id, g, encode(g::varchar || ':' || r.name) from r, unnest(generate_series(0, 8)) as u(g)),
+h as (
+  select id, k, xor(list_reduce(list_prepend(4294967295, list_transform(generate_series(1, octet_length(b)), lambda i: ('0x' || substr(hex(b), 2 * i - 1, 2))::bigint)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as n from m, crc),
+w as (
+  select r.id, conv_id, turn, max(n) filter (k = 9) as weight, max(n % 5) filter (k = 0) as back, max(n % 101) filter (k = 1) < 50 as faulty, max(n % 101) filter (k = 2) as wait,
+    list(n % 3 <> 0 order by k) filter (k between 3 and 8) as lets
+  from r join h using (id) group by all),
+t as (
+  select *, row_number() over (partition by conv_id order by turn nulls last, weight) - 1 as p, dense_rank() over (order by conv_id nulls first) as c from w),
+f as (select *, 7 * p as arrival, 7 * p + wait as repaired from t),
+run as (
+  select c, -1::bigint as p, []::bigint[] as until, 0::bigint as begin, 0 as attempts from (select distinct c from f)
+  union all
+  select c, p, list_append(until, case when begin = 4611686018427387904 or nth is null then 4611686018427387904 else begin + 20 * (power(2, nth - 1)::bigint - 1) end), begin,
+    case when begin = 4611686018427387904 then 0 else coalesce(nth, 6) end
+  from (
+    select *, case when not faulty then 1 else list_min(list_filter([1, 2, 3, 4, 5, 6], lambda a: lets[a] and begin + 20 * (power(2, a - 1)::bigint - 1) >= repaired)) end as nth
+    from (
+      select f.*, run.until, greatest(arrival, case when back > 0 and back <= f.p then run.until[f.p - back + 1] else 0 end) as begin
+      from run join f on run.c = f.c and f.p = run.p + 1))),
+o as (
+  select f.conv_id, f.turn, f.p, f.weight, case when run.until[f.p + 1] < 4611686018427387904 then 'delivered' when run.attempts > 0 then 'dead' else 'blocked' end as status, run.attempts::int as attempts,
+    case when run.attempts > 0 then run.begin end as first_at, case when run.attempts > 0 then run.begin + 20 * (power(2, run.attempts - 1)::bigint - 1) end as last_at
+  from f join run on f.c = run.c and f.p = run.p),
+n as (select *, case when status = 'delivered' then row_number() over (partition by conv_id, status order by last_at, turn, p) end as release_no from o)
+select conv_id, turn, status, attempts, first_at, last_at, release_no,
+  case when status = 'delivered' then sum(release_no * weight) over (partition by conv_id, status order by release_no) end::bigint as state
+from n
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import bpe, codes, common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
+from quillon.llm import bpe, cascade, codes, common, language, lines, minhash, mixing, oracles, packing, quality, substring, suffix, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), *ranks()), *ranks())
     n_tokens = F.expr("octet_length(ids) div 4")
     return coded.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_cascading_release", oracles.CASCADE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.ship_package(spark)
+    return cascade.replay(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
