@@ -94,15 +94,19 @@ def inverted_index(docs: DataFrame) -> DataFrame:
     return counted.groupBy(search.stem(F.col("word")).alias("term"), "id").agg(F.sum("n").alias("tf"))
 
 
-def lexical(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
+def lexical(index: DataFrame, queries: DataFrame, n: int = POOL, living: DataFrame | None = None) -> DataFrame:
     """(query, id, score, rank) of documents that hold all terms of a query (query, text), stemmed; a query without terms finds nothing.
 
     index is (term, id, tf); only rows of a query's terms are read on. The score is the sum of 1 + ln of each frequency,
-    taken as the logarithm of their product, which is exact, so that equal scores are equal.
+    taken as the logarithm of their product, which is exact, so that equal scores are equal. Of an index in segments,
+    postings count whose (id, segment) is among the living.
     """
     asked = queries.select("query", F.explode(F.array_distinct(search.terms(F.col("text")))).alias("word")).select("query", search.stem(F.col("word")).alias("term")).distinct()
     sizes = asked.groupBy("query").agg(F.count("*").alias("size"))
-    hits = index.join(asked, "term").groupBy("query", "id").agg(F.count("*").alias("matched"), F.product("tf").alias("p"))
+    found = index.join(asked, "term")
+    if living is not None:
+        found = found.join(living, ["id", "segment"], "left_semi")
+    hits = found.groupBy("query", "id").agg(F.count("*").alias("matched"), F.product("tf").alias("p"))
     every = hits.join(sizes, "query").filter("matched = size").select("query", "id", (F.col("size") + F.ln("p")).alias("score"), "p")
     return first_rows(every, ["query"], n, F.desc("p"), F.asc("id")).drop("p").withColumnRenamed("#n", "rank")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +32,23 @@ def settled(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def kept(spark: SparkSession, key: str, build) -> DataFrame:
-    """A table that is built once a session and read after that: an index, which outlives the queries over it."""
+def contents(rows: DataFrame) -> str:
+    """A digest of the names, sizes and times of the files that rows are read from."""
+    spark, digest = rows.sparkSession, hashlib.sha256()
+    for name in sorted(rows.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        digest.update(f"{name}|{status.getLen()}|{status.getModificationTime()};".encode())
+    return digest.hexdigest()
+
+
+def kept(source: DataFrame, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that is built once a session from a source, and again when the source's files have changed: an index."""
+    spark = source.sparkSession
     tables = getattr(spark, "_quillon_kept", None)
     if tables is None:
         tables = spark._quillon_kept = {}
-    if key not in tables:
-        tables[key] = settled(build(), "kept")
-    return tables[key]
+    now = contents(source)
+    if tables.get(key, ("",))[0] != now:
+        tables[key] = (now, settled(build(), "kept"))
+    return tables[key][1]

@@ -41,7 +41,7 @@ def lexical(spark, sf):
     """Three words of every document whose number is divisible by 50, looked for in the index of all documents."""
     docs = documents(spark, sf)
     said = docs.filter("id % 50 = 0").select(F.col("id").alias("query"), F.array_join(F.slice(F.split("text", " "), 3, 3), " ").alias("text"))
-    return retrieval.lexical(kept(spark, f"terms of {sf}", lambda: retrieval.inverted_index(docs)), said)
+    return retrieval.lexical(kept(docs, f"terms of {sf}", lambda: retrieval.inverted_index(docs)), said)
 
 
 @query("dense_topk", f"with {DENSE_SQL} select query, id, rank from v")

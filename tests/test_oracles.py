@@ -9,7 +9,8 @@ import quillon.plans  # noqa: F401
 from quillon.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations "
+          "clicks sales sale_lines clients client_changes vendors items stamps").split()
 
 
 def duck_tables():
