@@ -5,7 +5,7 @@ conversation, however long, is one task's. In each part deliveries begin as if n
 relaxation then recomputes only turns whose parent's delivery changed, until nothing does. A turn that is never delivered
 is delivered at infinity, which is how death reaches its descendants. What descends from a turn of another part stays open,
 and only that is recomputed, part by part, when a delivery at the end of the part before turns out otherwise. Release
-numbers and states are prefix sums, by parts again.
+numbers and states are prefix sums, by parts again. No join here is left to a broadcast, as each side grows with the turns.
 """
 
 from __future__ import annotations
@@ -156,13 +156,13 @@ def replay(turns: DataFrame, gap: int = 7, reach: int = 4, delay: int = 20, most
     while True:
         ends = settled.filter("tail").unionByName(open_.filter("tail")).select("conv_id", "p", F.col("until").alias("now"))
         asked = open_.filter("outside").select("conv_id", (F.col("p") - F.col("back")).alias("p"), "part", "at", "start", "given")
-        moved = settle(match(asked, ends, ["conv_id", "p"]).filter("now <> given").select("part", "at", "start", "now"))
+        moved = settle(match(asked.hint("merge"), ends, ["conv_id", "p"]).filter("now <> given").select("part", "at", "start", "now"))
         if moved.isEmpty():
             break
         groups = moved.select("part", "start").distinct()
-        told = open_.join(groups, ["part", "start"], "left_semi").join(moved.drop("start"), ["part", "at"], "left").withColumn("given", F.coalesce("now", "given")).drop("now")
+        told = open_.hint("merge").join(groups, ["part", "start"], "left_semi").hint("merge").join(moved.drop("start"), ["part", "at"], "left").withColumn("given", F.coalesce("now", "given")).drop("now")
         again = by_part(told).mapInArrow(lambda batches: step(columns(batches)), shape)
-        after = settle(open_.join(groups, ["part", "start"], "left_anti").unionByName(again))
+        after = settle(open_.hint("merge").join(groups, ["part", "start"], "left_anti").unionByName(again))
         if held is not None:
             discard(held)
         discard(moved)
@@ -187,6 +187,6 @@ def _released(rows: DataFrame) -> DataFrame:
     placed = placed.withColumn("own", through.cast(big)).withColumn("base", (F.sum("own").over(order) - F.col("own")).cast(big)).select("conv_id", "part", "before", "base")
     total = (F.col("base") + (F.col("before").cast("decimal(18,0)") * F.col("w").cast("decimal(19,0)")).cast(big) + F.col("kw")).cast(big)
     wrapped = (F.pmod(total + F.lit(Decimal(2**63)).cast(big), F.lit(Decimal(2**64)).cast(big)) - F.lit(Decimal(2**63)).cast(big)).cast("long")
-    told = match(summed, placed, ["conv_id", "part"]).select("conv_id", "turn", "status", "attempts", "first_at", "last_at", (F.col("before") + F.col("k")).alias("release_no"), wrapped.alias("state"))
+    told = match(summed.hint("merge"), placed, ["conv_id", "part"]).select("conv_id", "turn", "status", "attempts", "first_at", "last_at", (F.col("before") + F.col("k")).alias("release_no"), wrapped.alias("state"))
     rest = shown.filter("status <> 'delivered'").select("conv_id", "turn", "status", "attempts", "first_at", "last_at", F.lit(None).cast("long").alias("release_no"), F.lit(None).cast("long").alias("state"))
     return told.unionByName(rest)
