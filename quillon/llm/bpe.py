@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import islice
+from operator import methodcaller
 from pathlib import Path
 
 import numpy as np
@@ -27,11 +28,12 @@ from quillon.llm.common import U64, mix, slices, text_bytes, word_codes
 #: Keys of a bucket, on average; each bucket has one displacement.
 LOAD = 4
 STEP = U64(0x9E3779B97F4A7C15)
-#: Pre-tokens that are looked up at once.
-AT_ONCE = 500_000
 NONE = 1 << 31
-#: Pre-tokens of up to so many bytes are kept once merged, up to so many of them; links of longer ones go into arrays.
-SHORT, CACHE, LONG = 64, 300_000, 4096
+#: Pre-tokens of up to so many bytes are kept once merged, at most twice so many of them; links of longer ones go into arrays.
+SHORT, CACHE, LONG = 64, 150_000, 4096
+#: Bytes of text, and pre-tokens, that are taken at once.
+TEXTS, AT_ONCE = 2 << 20, 250_000
+GROUP = methodcaller("group")
 
 
 def _concat(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,51 +134,61 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.pattern = regex.compile(vocabulary.pattern)
-        self.ranks = dict(zip(vocabulary.tokens, vocabulary.ids.tolist()))
+        ids = dict(zip(vocabulary.tokens, vocabulary.ids.tolist()))
+        self.single, self.shift = [ids[bytes([b])] for b in range(256)], len(vocabulary.starts).bit_length()
+        # What two adjacent tokens become: every way to cut a token into two others, by the numbers of the two.
+        self.pairs = {ids[t[:k]] << self.shift | ids[t[k:]]: r for t, r in ids.items() for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids}
         self.merged: dict[bytes, array] = {}
+        self.older: dict[bytes, array] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank is joined first, the leftmost of several."""
-        n, get = len(piece), self.ranks.get
-        links = list if n < LONG else lambda x: array("q", x)
-        after, before = links(range(1, n + 1)), links(range(-1, n - 1))
-        rank = links(get(piece[i : i + 2], NONE) for i in range(n))
-        rank[n - 1] = NONE  # nothing follows the last byte
-        heap = [(r << 32) + i for i, r in enumerate(rank) if r != NONE]
+        n, get, shift = len(piece), self.pairs.get, self.shift
+        token = [self.single[b] for b in piece]
+        rank = [get(a << shift | b, NONE) for a, b in zip(token, token[1:])]
+        rank.append(NONE)  # nothing follows the last byte
+        heap = [r << 32 | i for i, r in enumerate(rank) if r != NONE]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        if n > LONG:  # numbers of 8 bytes instead of objects
+            token, rank, after, before = (array("q", x) for x in (token, rank, after, before))
         heapify(heap)
         while heap:
-            r, i = divmod(heappop(heap), 1 << 32)
+            top = heappop(heap)
+            i, r = top & 0xFFFFFFFF, top >> 32
             if rank[i] != r:
                 continue  # one of the pair has been joined otherwise
             gone = after[i]
             j = after[i] = after[gone]
-            rank[gone] = NONE
+            token[i], rank[gone] = r, NONE
             if j < n:
                 before[j] = i
-                rank[i] = r = get(piece[i : after[j]], NONE)
-                if r != NONE:
-                    heappush(heap, (r << 32) + i)
+                rank[i] = new = get(r << shift | token[j], NONE)
+                if new != NONE:
+                    heappush(heap, new << 32 | i)
             else:
                 rank[i] = NONE
             h = before[i]
             if h >= 0:
-                rank[h] = r = get(piece[h:j], NONE)
-                if r != NONE:
-                    heappush(heap, (r << 32) + h)
+                rank[h] = new = get(token[h] << shift | r, NONE)
+                if new != NONE:
+                    heappush(heap, new << 32 | h)
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[piece[i : after[i]]])
+            out.append(token[i])
             i = after[i]
         return out
 
-    def missing(self, piece: bytes) -> list[int]:
-        """Ids of a pre-token that is not in the vocabulary; short ones are kept for when they come again."""
-        if (known := self.merged.get(piece)) is None:
-            known = self.merge(piece)
-            if len(self.merged) >= CACHE:
-                self.merged.clear()
+    def missing(self, piece: bytes) -> array:
+        """Ids of a pre-token that is not in the vocabulary; short ones are kept for when they come again, the latest asked for longest."""
+        known = self.merged.get(piece)
+        if known is None:
+            known = self.older.get(piece)
+            if known is None:
+                known = array("i", self.merge(piece))
             if len(piece) <= SHORT:
-                self.merged[piece] = array("i", known)
+                if len(self.merged) >= CACHE:
+                    self.older, self.merged = self.merged, {}
+                self.merged[piece] = known
         return known
 
     def lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +215,9 @@ class Encoder:
         held: list[str] = []
         counts: list[int] = []
         for text in texts:
-            found = (m.group() for m in self.pattern.finditer(text or ""))
+            text = text or ""
+            # No more pre-tokens than characters: those of a longer text are not listed whole.
+            found = iter(self.pattern.findall(text)) if len(text) <= AT_ONCE else map(GROUP, self.pattern.finditer(text))
             while True:
                 part = list(islice(found, AT_ONCE - len(held)))
                 held += part
@@ -262,7 +276,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     `path` names a file of ranks (a token in base 64 and its rank in each line), read once by the driver; it travels with
     the tasks, as its size is the vocabulary's and not the data's. `pattern` cuts a text into pre-tokens, which are
     encoded apart; no special token is known. A null or empty text has no ids. A column `ids` gives way; other columns are
-    kept, and rows that repeat are encoded each. Memory is that of one text, or of 4 MB of shorter ones, and of its
+    kept, and rows that repeat are encoded each. Memory is that of one text, or of 2 MB of shorter ones, and of its
     longest pre-token's links.
     """
     words, keep = vocabulary(path, pattern), [c for c in docs.columns if c not in (text, "ids")]
@@ -271,7 +285,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(words)
         for batch in batches:
-            for piece in slices(batch, text):
+            for piece in slices(batch, text, TEXTS):
                 ids, bounds = coder(piece.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), _binary(ids.astype("<u4").view(np.uint8), 4 * bounds)], [*keep, "ids"])
 
@@ -288,7 +302,7 @@ def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "ids"):
+            for piece in slices(batch, "ids", TEXTS):
                 data, bounds = text_bytes(piece.column("ids"))
                 out, edges = words.decode(np.frombuffer(data.tobytes(), "<u4").astype(np.int64))
                 column = _binary(out, edges[bounds // 4])
