@@ -1,9 +1,9 @@
-"""Embedding near-dedup: exact block comparison, and sorted projection passes where the table is too large for it.
+"""Embedding near-dedup by sorted projection passes, at every size.
 
 In each pass vectors are put in the lexicographic order of 64 concatenated random hyperplane hashes around the mean, each
 is compared with its neighbours in a bounded window, and pairs whose cosine is confirmed are united across passes. The
-number of passes follows from how full the measured prefixes are; vectors for which the passes would not reach the
-stated miss chance are compared with all others.
+number of passes follows from how full the measured prefixes are; vectors so crowded that even many passes would not reach
+the stated miss chance are compared with all others in blocks, as an exact way for the rest.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ ROW = ["pass", "dim", "key", "node", "vector"]
 BLOCK = 512
 
 
-#: Up to so many different vectors are all compared with each other; beyond, passes take over where they cost less.
-EXACT = 1 << 16
+#: Vectors that so many passes serve are left to the passes, whatever it would cost to compare them with all others.
+LEAST = 64
 #: Vectors that are compared exactly with all others come in blocks of about so many.
 WIDE = 8192
 #: What a pass costs for each vector (hash, sort, shuffle), counted in comparisons of two vectors.
@@ -39,18 +39,14 @@ STEPS, LAST = 4, 200
 
 
 def passes_for(bins: dict[int, int], miss: float) -> tuple[int, int]:
-    """Passes, and the last bin that they serve: the cheapest plan in which every served vector misses a partner at the
-    threshold with a chance of at most `miss`, all others being compared with the whole table. No passes: (0, -1)."""
-    total = sum(bins.values())
-    best, left = (float(total), 0, -1), total
-    for b in sorted(bins):
-        left -= bins[b]
-        if b >= LAST:
-            break
-        shared = 2.0 ** (-(b + 1) / STEPS)
-        turns = max(1, math.ceil(math.log(miss) / math.log1p(-shared)))
-        best = min(best, (float(turns) * PASS_COST + left, turns, b))
-    return best[1], best[2]
+    """Passes, and the last bin that they serve: every served vector misses a partner at the threshold with a chance of at
+    most `miss`. All bins that LEAST passes can serve are served; beyond, as many as cost less so than by comparing their
+    vectors with the whole table. There is always a pass; a last bin of -1 says that it serves none for sure."""
+    turns = {b: max(1, math.ceil(math.log(miss) / math.log1p(-(2.0 ** (-(b + 1) / STEPS))))) for b in bins if b < LAST}
+    first = max((b for b in turns if turns[b] <= LEAST), default=-1)
+    left = lambda last: sum(n for b, n in bins.items() if b > last)
+    options = [(float(turns.get(b, 1)) * PASS_COST + left(b), turns.get(b, 1), b) for b in {first, *(b for b in turns if b > first)}]
+    return min(options)[1:]
 
 
 def unit(column: pa.Array, dim: int) -> np.ndarray:
@@ -265,17 +261,12 @@ def _across(cosine: float):
     return run
 
 
-def _against_all(classes: DataFrame, n: int, some: DataFrame | None, m: int) -> tuple[DataFrame, DataFrame]:
-    """Two sides of block pairs: `some` of the classes (m nodes; None: all) against all n."""
+def _against_all(classes: DataFrame, n: int, some: DataFrame, m: int) -> tuple[DataFrame, DataFrame]:
+    """Two sides of block pairs: `some` of the classes (m nodes) against all n."""
     blocks = lambda k: max(1, -(-k // WIDE))
     dealt = lambda k: F.pmod(F.xxhash64("mark"), F.lit(blocks(k))).cast("int")
-    whole = classes.select("dim", "node", "vector", dealt(n).alias("hi"))
-    if some is None:
-        one = whole.withColumnRenamed("hi", "lo").withColumn("hi", F.explode(F.sequence(F.col("lo"), F.lit(blocks(n) - 1))))
-        two = whole.withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("hi"))))
-    else:
-        one = classes.join(some, "node", "left_semi").select("dim", "node", "vector", dealt(m).alias("lo")).withColumn("hi", F.explode(F.sequence(F.lit(0), F.lit(blocks(n) - 1))))
-        two = whole.withColumn("lo", F.explode(F.sequence(F.lit(0), F.lit(blocks(m) - 1))))
+    one = classes.join(some, "node", "left_semi").select("dim", "node", "vector", dealt(m).alias("lo")).withColumn("hi", F.explode(F.sequence(F.lit(0), F.lit(blocks(n) - 1))))
+    two = classes.select("dim", "node", "vector", dealt(n).alias("hi")).withColumn("lo", F.explode(F.sequence(F.lit(0), F.lit(blocks(m) - 1))))
     return one.toDF(*one.columns), two  # new names for the same columns, or the two sides could not be told apart
 
 
@@ -283,14 +274,14 @@ def find_links(classes: DataFrame, n: int, cosine: float, window: int, miss: flo
     """(a, b): links that join all classes (dim, node, mark, vector) with cosine >= the threshold into their components."""
     spark = classes.sparkSession
 
-    def compared(some: DataFrame | None, m: int) -> DataFrame:
+    def compared(some: DataFrame, m: int) -> DataFrame:
         one, two = _against_all(classes, n, some, m)
         keys = ["dim", "lo", "hi"]
         return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(_across(cosine), "a long, b long")
 
-    if passes is None and n <= EXACT:
-        return settle(compared(None, n))
     means, hard, left = _means(classes), None, 0
+    if passes is None and n <= window:
+        passes = 1  # all vectors of a length stand in one window
     if passes is None:
         turns = max(1, min(partitions(spark), n * PROBES // (16 * window)))
         probed = classes.select("dim", "node", "vector").mapInArrow(_probe_keys(seed, means, cosine), "pass int, dim int, key long, node long, agree double")
@@ -300,8 +291,6 @@ def find_links(classes: DataFrame, n: int, cosine: float, window: int, miss: flo
         rated = settle(classes.select("node").join(chances, "node", "left").select("node", bin_.alias("bin")))
         bins = {r["bin"]: r["n"] for r in rated.groupBy("bin").agg(F.count("*").alias("n")).collect()}
         passes, served = passes_for(bins, miss)
-        if not passes:
-            return settle(compared(None, n))
         hard, left = rated.filter(F.col("bin") > served), sum(k for b, k in bins.items() if b > served)
     item = dict(classes.dtypes)["vector"]
     row = f"pass int, dim int, key long, node long, vector {item}"
@@ -336,8 +325,8 @@ def _count(cosine: float):
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, window: int = 128, miss: float = 1e-3, passes: int | None = None, seed: int = 5) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors (vec_id, embedding).
 
-    Equal vectors are one class. Up to EXACT classes are compared with each other exactly, more go through as many passes
-    as their measured crowding needs, or through `passes` where stated. Components of the links found are then compared exactly,
+    Equal vectors, told apart by two 64-bit hashes, are one class. Classes go through as many passes as their measured
+    crowding needs, or through `passes` where stated. Components of the links found are then compared exactly,
     block by block, so that n_links counts every vector of the component with cosine >= the threshold (other vectors,
     copies included), however many there are. Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing, nor do vectors of different length. component_id is the smallest vec_id reachable. Rows that
