@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.common import settle
+from quillon.llm.common import settle, slices
 
 #: Pieces of one length are ranked in parts of about so many, so that no length is one task's alone.
 PART_ROWS = 200_000
@@ -105,15 +105,17 @@ def tokenize(docs: DataFrame, path: str, capacity: int, end_id: int = 0, with_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path)
         for batch in batches:
-            rows = [(k, i, a, n, zlib.crc32(x), x) for k, text in enumerate(batch.column("text").to_pylist()) for i, (a, n, x) in enumerate(cut(encode(text or ""), capacity, end_id))]
-            cols = list(zip(*rows)) or [[]] * 6
-            row = pa.array(cols[0], pa.int64())
-            arrays = [*(batch.column(c).take(row) for c in own), pa.array(cols[1], pa.int32()), *(pa.array(cols[j], pa.int64()) for j in (2, 3, 4))]
-            names = [*own, "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in cols[5]], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            for some in slices(batch, "text"):  # ids of 4 MB of text are held at once, or of one longer text
+                rows = [(k, i, a, n, zlib.crc32(x), x) for k, text in enumerate(some.column("text").to_pylist()) for i, (a, n, x) in enumerate(cut(encode(text or ""), capacity, end_id))]
+                cols = list(zip(*rows)) or [[]] * 6
+                row = pa.array(cols[0], pa.int64())
+                arrays = [*(some.column(c).take(row) for c in own), pa.array(cols[1], pa.int32()), *(pa.array(cols[j], pa.int64()) for j in (2, 3, 4))]
+                names = [*own, "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    ends = np.cumsum([0, *cols[3]], dtype=np.int32)
+                    arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(cols[5]), "<i4"))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return docs.select(*own, "text").mapInArrow(run, shape)
 
@@ -253,3 +255,13 @@ def best_fit_pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], [*keep, "sequence_id", "offset"])
 
     return ranked.mapInArrow(run, shape).unionByName(alone)
+
+
+def sequences(pieces: DataFrame, own: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """sequence_id, ids, parts for packed pieces with ids: the token ids of a sequence in order of their offsets, and of
+    each part its offset, length, piece and the columns `own`. A sequence has at most `capacity` ids, so no group is large.
+    """
+    part = F.struct("offset", "length", "piece", *own, "ids")
+    held = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part), lambda a, b: a["offset"].cast("int") - b["offset"].cast("int")).alias("held"))
+    shown = F.transform("held", lambda p: F.struct(p["offset"].alias("offset"), p["length"].alias("length"), p["piece"].alias("piece"), *(p[c].alias(c) for c in own)))
+    return held.select("sequence_id", F.flatten(F.transform("held", lambda p: p["ids"])).alias("ids"), shown.alias("parts"))
