@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents that stay, with their columns; the last returns the
 packed pieces. Between stages the rows are written as Parquet to the shared folder and read again, so a lost executor
 costs a reread and no stage computes another one twice; what a stage has read is deleted when the next has been written.
-The mix repeats documents; the packed pieces of each of its rows share a row_id, so that repeats can be told apart.
+The mix repeats documents; the packed pieces of each of its rows share a row_id, so that repeats can be told apart. The
+pieces carry their token ids, so that what training reads depends on no other table.
 
 Documents may have further columns, also such as operators return (lang_pred, score, n_lines, n_removed); they are kept.
 """
@@ -56,10 +57,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs token sequences of 2048; row_id tells rows of docs apart that share a doc_id."""
+    """Packs token sequences of 2048 and gives the ids of each piece; row_id tells rows of docs apart that share a doc_id.
+
+    packing.sequences joins the pieces of a sequence. Ids without the last, which is the end id, decode to the mixed text.
+    """
     common.ship_package(spark)
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"))
-    return packing.best_fit_pack(numbered, queries.tokenizer_path(), capacity=2048, end_id=0, carry=("row_id",))
+    return packing.best_fit_pack(numbered, queries.tokenizer_path(), capacity=2048, end_id=0, with_ids=True, carry=("row_id",))
 
 
 STAGES = [
