@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quillon.llm.common import settle, slices
+from quillon.llm.common import settle, slices, tidy
 
 #: Runs of letters, with the few number signs that regular expressions count as letters; those are dropped later.
 _RUN = re.compile(r"[^\W\d_]+")
-CACHE = 150_000
+CACHE = 100_000
 
 
 def words(text: str) -> list[str]:
@@ -163,6 +163,7 @@ def identify(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:
                     scores[i] = 1 / np.exp(np.maximum(total - total[best], -700)).sum()
                 columns = [batch.column(j) for j in range(batch.num_columns - (not own))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(names[picks], pa.string()), pa.array(scores)], schema.names)
+        tidy()
 
     return shaped.mapInArrow(run, schema)
 

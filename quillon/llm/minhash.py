@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import U64, discard, lower_ascii, match, mix, prefix_hash, settle, slices, span_hash, text_bytes, word_bounds, word_codes
+from quillon.llm.common import U64, discard, lower_ascii, match, mix, prefix_hash, settle, slices, span_hash, text_bytes, tidy, word_bounds, word_codes
 from quillon.llm.graph import components
 
 #: A pair of similarity s shares a table with probability (1 - (1 - s**ROWS)**SIDE)**2: 0.997 at 0.8, 0.99998 at 0.9.
@@ -71,6 +71,7 @@ def _signatures(words: int, keep: tuple[str, ...] = ()):
                 columns = [batch.column(0), pa.array(np.diff(edges)), *(pa.array(_per_text(x, edges, np.add).view(np.int64)) for x in (mix(hashes), mix(hashes * _FACTORS[0])))]
                 columns += [pa.array(mix(k).view(np.int64)) for k in keys] + [batch.column(c) for c in keep]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set1", "set2", *(f"k{i}" for i in range(2 * SIDE)), *keep])
+        tidy()
 
     return run
 
@@ -83,6 +84,7 @@ def _sets(words: int):
                 ids = [pa.array(_per_text(x, edges, np.add).view(np.int64)) for x in (mix(hashes), mix(hashes * _FACTORS[0]))]
                 lists = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(hashes.view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*ids, lists], ["set1", "set2", "set"])
+        tidy()
 
     return run
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.common import settle, slices
+from quillon.llm.common import settle, slices, tidy
 
 #: Pieces of one length are ranked in parts of about so many, so that no length is one task's alone.
 PART_ROWS = 200_000
@@ -116,6 +116,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int, end_id: int = 0, with_id
                     arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(cols[5]), "<i4"))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
+        tidy()
 
     return docs.select(*own, "text").mapInArrow(run, shape)
 
