@@ -141,4 +141,4 @@ def embedded(texts: DataFrame, encode: Callable[[list[str]], list[list[float]]],
                 part = frame.iloc[at : at + batch]
                 yield pd.DataFrame({"id": part["id"], "vector": encode([t or "" for t in part["text"]])})
 
-    return texts.select("id", "text").mapInPandas(run, "id long, vector array<double>")
+    return texts.select("id", "text").mapInPandas(run, f"id {dict(texts.dtypes)['id']}, vector array<double>")

@@ -38,8 +38,9 @@ def keep_children(children: DataFrame, parents: DataFrame, keys: list[str]) -> D
 
 
 def preserve(fresh: DataFrame, held: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """A fresh roster with a group of columns taken over from held rows of the same natural key."""
-    return fresh.drop(*columns).join(held.select(*keys, *columns), keys, "left")
+    """A fresh roster with a group of columns taken over from the held row of the same natural key; of several, the greatest."""
+    once = latest(held.select(*keys, *columns), keys, *(F.desc(c) for c in columns))
+    return fresh.drop(*columns).join(once, keys, "left")
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.rules import COUNTED
+from quillon.operators.release import surface
 from quillon.operators.serving import GRADES, OFFICES
 
-# Grades that never ship, categories of firms that are no office, and what a person's status may be.
+# Grades that never ship, what a person's status may be, and the wording of signals.
 REJECTED_GRADES = ["D", "F"]
-RECLASSIFIED = ["wealth_manager", "ria_with_fo_practice"]
 PERSON_STATUS = ["proven", "not_established"]
+LATEST, NO_SIGNAL = " signal(s); latest ", "no recent signal found"
 #: Surfaces: which records, and in which columns (with their headers).
 FIRM_COLUMNS = {"crd": "CRD", "name": "Firm Name", "category": "Entity Category", "domain": "Domain", "state": "State"}
 PRODUCT_COLUMNS = FIRM_COLUMNS | {"name": "Family Office Name", "email": "Primary Email", "grade": "Primary Email Grade", "completion": "Data Completion", "sectors": "Investing Sectors"}
@@ -29,28 +30,37 @@ def export_order() -> list[Column]:
     return [rank, F.desc("completion"), F.asc("name"), F.asc("crd")]
 
 
+#: The export of each part of release.surface, with its columns and its order.
+SURFACES = {
+    "product": "family_offices", "practices": "practices", "pending": "pending_decision_maker", "reclassified": "reclassified", "quarantined": "quarantined",
+    "awaiting_adjudication": "awaiting_adjudication",
+}
+
+
+def placed(records: DataFrame) -> DataFrame:
+    """records with the name of the one surface that each is exported on; every record has one."""
+    names = F.create_map(*(F.lit(x) for pair in SURFACES.items() for x in pair))
+    return records.withColumn("surface", F.element_at(names, surface(F.col("release_state"), F.col("category"))))
+
+
 def surfaces(records: DataFrame) -> dict[str, tuple[DataFrame, dict[str, str], list[Column]]]:
-    """The five record surfaces, each with its columns and its order."""
-    state, category, firms = F.col("release_state"), F.col("category"), [F.asc("category"), F.asc("name"), F.asc("crd")]
-    return {
-        "family_offices": (records.filter((state == "qualifying") & category.isin(OFFICES)), PRODUCT_COLUMNS, export_order()),
-        "practices": (records.filter((state == "qualifying") & (category == "embedded_fo_practice")), PRODUCT_COLUMNS, export_order()),
-        "pending_decision_maker": (records.filter((state == "unresolved") & category.isin(COUNTED)), FIRM_COLUMNS, firms),
-        "reclassified": (records.filter((state == "unresolved") & category.isin(RECLASSIFIED)), FIRM_COLUMNS, firms),
-        "quarantined": (records.filter(state == "quarantined"), QUARANTINE_COLUMNS, [F.asc("name"), F.asc("crd")]),
-    }
+    """The six record surfaces, each with its columns and its order."""
+    firms = [F.asc("category"), F.asc("name"), F.asc("crd")]
+    forms = {"family_offices": (PRODUCT_COLUMNS, export_order()), "practices": (PRODUCT_COLUMNS, export_order()), "quarantined": (QUARANTINE_COLUMNS, firms[1:])}
+    rows = placed(records)
+    return {n: (rows.filter(F.col("surface") == n).drop("surface"), *forms.get(n, (FIRM_COLUMNS, firms))) for n in SURFACES.values()}
 
 
 def signal_summary(signals: DataFrame) -> DataFrame:
     """(crd, summary): how many signals (crd, type, date, description) a firm has, and the newest."""
     newest = F.max(F.struct("date", "type", "description"))
     each = signals.groupBy("crd").agg(F.count("*").alias("n"), newest.alias("s"))
-    said = F.concat(F.col("n").cast("string"), F.lit(" signal(s); latest "), F.col("s.date"), F.lit(" ("), F.col("s.type"), F.lit("): "), F.left("s.description", F.lit(80)))
+    said = F.concat(F.col("n").cast("string"), F.lit(LATEST), F.col("s.date"), F.lit(" ("), F.col("s.type"), F.lit("): "), F.left("s.description", F.lit(80)))
     return each.select("crd", said.alias("summary"))
 
 
 def export(records: DataFrame, signals: DataFrame, path: str) -> dict[str, str]:
-    """Writes six surfaces as CSV below path, each in its own order under its own headers; lists are joined by "; "."""
+    """Writes all surfaces, and the signals, as CSV below path, each in its own order under its own headers; lists are joined by "; "."""
     lists = {c for c, t in records.dtypes if t.startswith("array")}
     summary = signal_summary(signals)
     out = {}
@@ -60,7 +70,7 @@ def export(records: DataFrame, signals: DataFrame, path: str) -> dict[str, str]:
             sorted_rows = rows.join(summary, "crd", "left")
         shown = [(F.array_join(c, "; ") if c in lists else F.col(c)).alias(h) for c, h in columns.items()]
         if columns is PRODUCT_COLUMNS:
-            shown.append(F.coalesce("summary", F.lit("no recent signal found")).alias("Recent Signals"))
+            shown.append(F.coalesce("summary", F.lit(NO_SIGNAL)).alias("Recent Signals"))
         # A range sort: files are in order, and no task holds a whole surface.
         sorted_rows.orderBy(*order).select(*shown).write.mode("overwrite").option("header", True).option("escape", "\"").csv(f"{path}/{name}")
         out[name] = f"{path}/{name}"
@@ -119,17 +129,11 @@ def surface_checks(records: DataFrame, shipped: dict[str, DataFrame], audit: Dat
 
     One pass over the records and one over all that was shipped; both end in one row.
     """
-    state, category = F.col("release_state"), F.col("category")
-    office, quarantined = (state == "qualifying") & category.isin(OFFICES), state == "quarantined"
-    reclassified = (state == "unresolved") & category.isin(RECLASSIFIED)
-    wanted = {
-        "family_offices": office, "practices": (state == "qualifying") & (category == "embedded_fo_practice"), "pending_decision_maker": (state == "unresolved") & category.isin(COUNTED),
-        "reclassified": reclassified, "quarantined": quarantined,
-    }
-    found = F.col("#found").isNotNull()
-    held = records.join(index.select("crd").distinct().withColumn("#found", F.lit(True)), "crd", "left").agg(
-        *(F.count_if(c).alias(f"held {n}") for n, c in wanted.items()), F.count_if(found & quarantined).alias("quarantined found"),
-        F.count_if(found & reclassified).alias("reclassified found"), F.count_if(~found & office).alias("offices lost"))
+    state, category, found, at = F.col("release_state"), F.col("category"), F.col("#found").isNotNull(), F.col("surface")
+    wanted = list(SURFACES.values())
+    held = placed(records).join(index.select("crd").distinct().withColumn("#found", F.lit(True)), "crd", "left").agg(
+        *(F.count_if(at == n).alias(f"held {n}") for n in wanted), F.count("*").alias("all"), F.count_if(state == "qualifying").alias("qualifying"), F.count_if(found & (at == "quarantined")).alias("quarantined found"),
+        F.count_if(found & (at == "reclassified")).alias("reclassified found"), F.count_if(~found & (state == "qualifying") & category.isin(OFFICES)).alias("offices lost"))
     parts = None
     for name, rows in shipped.items():
         address = [F.col(f"`{h}`") if h in rows.columns else F.lit(None).cast("string") for h in ("Primary Email", "Primary Email Grade")]
@@ -140,11 +144,12 @@ def surface_checks(records: DataFrame, shipped: dict[str, DataFrame], audit: Dat
     out = parts.join(rejected, "email", "left").agg(
         *(F.count_if(F.col("surface") == n).alias(f"sent {n}") for n in wanted), F.count_if(product & ~F.coalesce(F.col("c").isin(OFFICES), F.lit(False))).alias("others"),
         F.count_if(product & F.col("#bad").isNotNull()).alias("addresses"), F.count_if(product & F.col("g").isin(REJECTED_GRADES) & (F.coalesce("email", F.lit("")) != "")).alias("grades"),
-        F.count_if((F.col("surface") == "reclassified") & ~F.coalesce(F.col("c").isin(RECLASSIFIED), F.lit(False))).alias("wrongly"))
+        F.count_if((F.col("surface") == "reclassified") & F.coalesce(F.col("c").isin(COUNTED), F.lit(False))).alias("wrongly"))
     c = lambda n: F.col(f"`{n}`")
-    total = lambda head: sum((c(f"{head} {n}") for n in wanted), F.lit(0))
+    sent = sum((c(f"sent {n}") for n in wanted), F.lit(0))
     tests = {f"{n} as shipped are those held": F.abs(c(f"sent {n}") - c(f"held {n}")) for n in wanted} | {
-        "the surfaces partition what is decided": F.abs(total("sent") - total("held")),
+        "the surfaces partition all held records": F.abs(sent - c("all")),
+        "qualifying records are the offices and practices": F.abs(c("qualifying") - c("sent family_offices") - c("sent practices")),
         "the product has offices only": c("others"),
         "no rejected address was shipped": c("addresses"),
         "no rejected grade was shipped": c("grades"),

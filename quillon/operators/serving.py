@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.text import money_words
@@ -89,7 +89,7 @@ def source_cards(hits: DataFrame, query: str = "query") -> DataFrame:
     """Hits of each query in the order of their cards (nth), with place, size in words and whether they are offices."""
     order = answer_order(F.coalesce("score", F.lit(0)), F.col("entity_category"), F.col("primary_email_grade"))
     place = F.nullif(F.concat_ws(", ", F.nullif("city", F.lit("")), F.nullif("state", F.lit(""))), F.lit(""))
-    ranked = first_rows(hits, [query], 1_000_000, *order, F.asc("crd")).withColumnRenamed("#n", "nth")
+    ranked = hits.withColumn("nth", F.row_number().over(Window.partitionBy(query).orderBy(*order, F.asc("crd"))))
     return ranked.withColumns({"location": place, "aum": money_words(F.nullif("aum_usd", F.lit(0))), "is_family_office": F.coalesce(F.col("entity_category").isin(OFFICES), F.lit(False))})
 
 

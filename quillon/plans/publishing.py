@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillon.operators import publishing
+from quillon.operators.serving import GRADES
 from quillon.operators.storage import settled, shared_path
 from quillon.plans.records import FIRMS_SQL, GRADE_SQL, reachable, table
 from quillon.plans.serving import SIGNALS_SQL, signals
@@ -70,7 +72,9 @@ def reconcile_records(spark, sf):
     return publishing.record_checks(stated(spark, sf), contacts(spark, sf), audit(spark, sf))
 
 
-_SURFACE = "case when release_state = 'quarantined' then 'quarantined' when release_state = 'qualifying' then case when category = 'embedded_fo_practice' then 'practices' when category in ('single_family_office', 'multi_family_office') then 'family_offices' end when category in ('wealth_manager', 'ria_with_fo_practice') then 'reclassified' when category in ('single_family_office', 'multi_family_office', 'embedded_fo_practice') then 'pending_decision_maker' end"
+_OFFICES, _COUNTED = "('single_family_office', 'multi_family_office')", "('single_family_office', 'multi_family_office', 'embedded_fo_practice')"
+_SURFACE = f"""case when release_state = 'quarantined' then 'quarantined' when release_state = 'qualifying' then case when category = 'embedded_fo_practice' then 'practices' else 'family_offices' end
+  when category is null then 'awaiting_adjudication' when category in {_COUNTED} then 'pending_decision_maker' else 'reclassified' end"""
 
 
 def _shipped(spark, sf):
@@ -79,28 +83,46 @@ def _shipped(spark, sf):
     return {n: publishing.read_surface(spark, paths[n], columns) for n, (_, columns, _) in publishing.surfaces(rows).items()}
 
 
+_GRADES = "[" + ", ".join(f"'{g}'" for g in GRADES[:3]) + "]"
+
+
 @query(
     "export_surfaces",
     f"""with {FIRMS_SQL}, {STATED_SQL}, {SIGNALS_SQL}, g as (select crd, count(*) || ' signal(s); latest ' || max(date || ' (' || type || '): ' || description) as summary from s group by 1),
-    e as (select *, {_SURFACE} as surface from x) select surface, crd::varchar as crd, case when surface in ('family_offices', 'practices') then coalesce(summary, 'no recent signal found') end as signals, case when surface in ('family_offices', 'practices') and len(sectors) > 0 then array_to_string(sectors, '; ') end as sectors
-    from e left join g using (crd) where surface is not null""",
+    e as (select *, {_SURFACE} as surface from x), f as (select *, surface in ('family_offices', 'practices') as product, coalesce(list_position({_GRADES}, grade) - 1, 6) as place from e)
+    select surface, row_number() over (partition by surface order by case when product then place end, case when product then completion end desc, case when not product and surface <> 'quarantined' then category end nulls first, name, crd) as nth,
+      crd::varchar as crd, case when product then coalesce(summary, 'no recent signal found') end as signals, case when product and len(sectors) > 0 then array_to_string(sectors, '; ') end as sectors
+    from f left join g using (crd)""",
 )
 def export_surfaces(spark, sf):
-    """Writes the surfaces and returns what a reader of the files finds."""
+    """Writes the surfaces and returns what a reader of the files finds, line by line: the files' names are in order, and so are their lines."""
     out, rows = None, _shipped(spark, sf)
+    line = Window.partitionBy("surface").orderBy("file", "line")
     for name, df in rows.items():
         more = {"signals": "Recent Signals", "sectors": "Investing Sectors"}
-        part = df.select(F.lit(name).alias("surface"), F.col("CRD").alias("crd"), *((F.col(f"`{h}`") if h in df.columns else F.lit(None).cast("string")).alias(c) for c, h in more.items()))
+        shown = [(F.col(f"`{h}`") if h in df.columns else F.lit(None).cast("string")).alias(c) for c, h in more.items()]
+        part = df.select(F.lit(name).alias("surface"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), F.col("CRD").alias("crd"), *shown)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.withColumn("nth", F.row_number().over(line)).drop("file", "line")
+
+
+_CHECKED = {f"{n} as shipped are those held": "0" for n in publishing.SURFACES.values()} | {
+    "the surfaces partition all held records": "0",
+    "qualifying records are the offices and practices": f"abs(count(*) filter (where {_Q}) - count(*) filter (where surface in ('family_offices', 'practices')))",
+    "the product has offices only": f"count(*) filter (where surface = 'family_offices' and not coalesce(category in {_OFFICES}, false))",
+    "no rejected address was shipped": "count(*) filter (where surface = 'family_offices' and bad)",
+    "no rejected grade was shipped": "count(*) filter (where surface = 'family_offices' and grade in ('D', 'F') and coalesce(email, '') <> '')",
+    "reclassified firms are no offices": f"count(*) filter (where surface = 'reclassified' and category in {_COUNTED})",
+    "quarantined firms cannot be retrieved": "count(*) filter (where surface = 'quarantined' and found)",
+    "reclassified firms cannot be retrieved": "count(*) filter (where surface = 'reclassified' and found)",
+    "qualifying offices can be retrieved": f"count(*) filter (where {_Q} and category in {_OFFICES} and not found)",
+}
 
 
 @query(
     "reconcile_surfaces",
     f"""with {FIRMS_SQL}, {STATED_SQL}, e as (select *, {_SURFACE} as surface, crd % 7 > 0 as found, exists (select 1 from audit a where lower(a.email) = lower(x.email)) as bad from x)
-    select t as "check", f as found, f = 0 as ok from (select unnest(['family_offices as shipped are those held', 'practices as shipped are those held', 'pending_decision_maker as shipped are those held', 'reclassified as shipped are those held', 'quarantined as shipped are those held', 'the surfaces partition what is decided', 'the product has offices only',
-      'no rejected address was shipped', 'no rejected grade was shipped', 'reclassified firms are no offices', 'quarantined firms cannot be retrieved', 'reclassified firms cannot be retrieved', 'qualifying offices can be retrieved']) as t,
-    unnest([0, 0, 0, 0, 0, 0, 0, count(*) filter (where surface = 'family_offices' and bad), 0, 0, count(*) filter (where surface = 'quarantined' and found), count(*) filter (where surface = 'reclassified' and found), count(*) filter (where surface = 'family_offices' and not found)]) as f from e)""",
+    select t as "check", f as found, f = 0 as ok from (select unnest([{", ".join(f"'{n}'" for n in _CHECKED)}]) as t, unnest([{", ".join(_CHECKED.values())}]) as f from e)""",
 )
 def reconcile_surfaces(spark, sf):
     index = table(spark, sf, "customer").filter("c_custkey % 7 > 0").select(F.col("c_custkey").alias("crd"))
