@@ -72,6 +72,31 @@ def link_discovery(spark, sf):
     return pages.discovered(table(spark, sf, "pages").withColumn("html", F.concat("html", F.lit(NAV))))
 
 
+REFERENCES = [
+    "team.html", "../about", "./staff/./x/../people", "//www.other.example.org/team", "?tab=team", "", "/a/b/../c/", "../../../../up", "x/..", ".", "..", "http://a.example.org/p/../q?r=/../s", "mailto:a@example.org", "/one?two=/../three", "g;x=1/../y", "/team/#top",
+]
+
+
+@query(
+    "link_resolution",
+    r"""with r as (select page_id, case page_id % 3 when 0 then url || '/deep/er/page.html?q=1' when 1 then url || '/?v' else url end as base, pos, ref0 from pages, (select unnest(generate_series(1, """
+    + f"{len(REFERENCES)})) as pos, unnest([{', '.join(repr(r) for r in REFERENCES)}]) as ref0)"
+    + r"""),
+    a as (select *, regexp_replace(ref0, '#.*$', '') as ref, regexp_extract(base, '^(https?://[^/?#]*)') as origin, regexp_extract(base, '^https?://[^/?#]*([^?#]*)', 1) as own, regexp_extract(base, '^[^?#]*(\?[^#]*)', 1) as q from r),
+    b as (select *, case when regexp_matches(ref, '^https?://') then ref when starts_with(ref, '//') then regexp_extract(base, '^https?:') || ref when regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*:') then null
+      when ref = '' then origin || own || q when starts_with(ref, '?') then origin || own || ref when starts_with(ref, '/') then origin || ref else origin || case when own = '' then '/' else regexp_extract(own, '^(.*/)', 1) end || ref end as whole from a),
+    c as (select *, regexp_extract(whole, '^(https?://[^/?#]*)') as head, regexp_extract(whole, '^https?://[^/?#]*([^?#]*)', 1) as path, regexp_extract(whole, '(\?[^#]*)', 1) as tail from b),
+    d as (select *, list_reduce(list_prepend([''], list_transform(string_split(path, '/')[2:], lambda s: [s])), lambda h, x: case when x[1] = '..' then h[:greatest(len(h) - 1, 1)] when x[1] = '.' then h else list_concat(h, x) end) as kept from c)
+    select page_id, pos::int as pos, case when whole is null then ref when path = '' or ref = '' or starts_with(ref, '?') then whole else head || array_to_string(kept, '/') || case when regexp_matches(path, '/\.{1,2}$') then '/' else '' end || tail end as target from d""".replace("\\\\", "\\"),
+)
+def link_resolution(spark, sf):
+    """References of every kind on each page, resolved against three forms of its address."""
+    k, url = F.col("page_id"), F.col("url")
+    base = F.when(k % 3 == 0, F.concat(url, F.lit("/deep/er/page.html?q=1"))).when(k % 3 == 1, F.concat(url, F.lit("/?v"))).otherwise(url)
+    each = table(spark, sf, "pages").select("page_id", base.alias("base"), F.posexplode(F.array(*map(F.lit, REFERENCES))).alias("at", "ref"))
+    return each.select("page_id", (F.col("at") + 1).alias("pos"), pages.resolved(F.col("base"), F.col("ref")).alias("target"))
+
+
 @query("html_parser")
 def html_parser(spark, sf):
     return pages.parsed(table(spark, sf, "pages"))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.functions.plan import once
 from quillon.functions.text import registered_domain
 from quillon.operators.keyed import latest
 
@@ -40,23 +41,62 @@ def link_kind(hay: Column) -> Column:
     return out
 
 
+def _segments(path: Column) -> Column:
+    """A rooted path without its dot segments; what leads above the root is ignored."""
+    kept = F.aggregate(
+        F.slice(F.split(path, "/"), 2, 1_000_000), F.array(F.lit("")),
+        lambda held, s: F.when(s == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(1)))).when(s == ".", held).otherwise(F.concat(held, F.array(s))),
+    )
+    return F.concat(F.array_join(kept, "/"), F.when(path.rlike("/\\.{1,2}$"), "/").otherwise(""))
+
+
+def resolved(base: Column, reference: Column) -> Column:
+    """The address that a reference stands for on a page at `base` (http or https), without a fragment, after RFC 3986.
+
+    References may be absolute, without a scheme, rooted, relative or queries only; an empty one is the page itself. One
+    of another scheme stays as it is. Null if either is null.
+    """
+    ref, origin = F.regexp_replace(F.trim(reference), "#.*$", ""), F.regexp_extract(base, "^(https?://[^/?#]*)", 1)
+    path_of = lambda url: F.regexp_extract(url, "^https?://[^/?#]*([^?#]*)", 1)
+    query_of = lambda url: F.regexp_extract(url, "^[^?#]*(\\?[^#]*)?", 1)
+    clean = lambda url: F.concat(F.regexp_extract(url, "^(https?://[^/?#]*)", 1), F.when(path_of(url) == "", "").otherwise(_segments(path_of(url))), query_of(url))
+    own, said = path_of(base), F.regexp_extract(ref, "^([^?]*)", 1)
+    merged = F.concat(F.when(own == "", "/").otherwise(F.regexp_extract(own, "^(.*/)", 1)), said)
+    return (
+        F.when(ref.rlike("^(?i)https?://"), clean(ref))
+        .when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
+        .when(ref.startswith("//"), clean(F.concat(F.regexp_extract(base, "^(https?:)", 1), ref)))
+        .when(said == "", F.concat(origin, own, F.when(ref == "", query_of(base)).otherwise(ref)))
+        .when(said.startswith("/"), F.concat(origin, _segments(said), query_of(ref)))
+        .otherwise(F.concat(origin, _segments(merged), query_of(ref)))
+    )
+
+
+#: A tag's attributes in any quoting; a ">" within quotes does not end the tag.
+ATTRIBUTES = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+ATTRIBUTE = "(?s)[^\\s=\"'/]+(?:\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s\"']+))?"
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, href, anchor) of each link of pages (page_id, html)."""
-    found = F.regexp_extract_all("html", F.lit("(?is)<a [^>]*href=\"[^\"]*\"[^>]*>.*?</a>"), F.lit(0))
+    """(page_id, pos, href, anchor) of each link of pages (page_id, html), whatever its quotes and the order of its attributes."""
+    found = F.regexp_extract_all("html", F.lit(f"(?is)<a\\s{ATTRIBUTES}>.*?</a>"), F.lit(0))
     each = pages.select("page_id", "url", F.posexplode(found).alias("pos", "a"))
-    return each.select("page_id", "url", "pos", F.regexp_extract("a", "(?i)href=\"([^\"]*)\"", 1).alias("href"), F.trim(F.regexp_replace("a", "(?s)<[^>]*>", "")).alias("anchor"))
+    given = F.regexp_extract_all(F.regexp_extract("a", f"(?is)^<a\\s({ATTRIBUTES})>", 1), F.lit(ATTRIBUTE), F.lit(0))
+    href = F.regexp_replace(F.get(F.filter(given, lambda x: x.rlike("(?is)^href\\s*=")), F.lit(0)), "(?is)^href\\s*=\\s*", "")
+    plain = F.replace(F.trim(F.regexp_replace(href, "^[\"']|[\"']$", "")), F.lit("&amp;"), F.lit("&"))
+    told = F.trim(F.regexp_replace(F.regexp_replace("a", f"(?is)^<a\\s{ATTRIBUTES}>", ""), "(?s)<[^>]*>", ""))
+    return each.select("page_id", "url", "pos", plain.alias("href"), told.alias("anchor")).filter("href is not null")
 
 
 def discovered(pages: DataFrame, most: int = MAX_LINKS) -> DataFrame:
     """Internal links worth following: same domain, a known kind, once per address, by kind and place, at most `most` a page."""
-    base = F.regexp_extract("url", "^(https?://[^/?#]*)", 1)
-    full = F.when(F.col("href").rlike("^https?://"), F.col("href")).when(F.col("href").startswith("/"), F.concat(base, "href"))
-    known = links(pages).withColumn("target", F.regexp_replace(F.regexp_replace(full, "#.*$", ""), "/+$", "")).filter("target is not null")
-    own = known.filter(registered_domain(F.col("target")) == registered_domain(F.col("url"))).filter(F.col("target") != F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "/+$", ""))
+    bare = lambda url: F.regexp_replace(F.regexp_replace(url, "#.*$", ""), "/+$", "")
+    known = once(links(pages), {"target": bare(resolved(F.col("url"), F.col("href")))}).filter(F.col("target").rlike("^https?://"))
+    own = known.filter(registered_domain(F.col("target")) == registered_domain(F.col("url"))).filter(F.col("target") != bare(F.col("url")))
     kinds = own.withColumn("kind", link_kind(F.lower(F.concat_ws(" ", "href", "anchor")))).filter("kind is not null")
-    once = latest(kinds, ["page_id", "target"], F.asc("pos"))
+    first = latest(kinds, ["page_id", "target"], F.asc("pos"))
     order = F.array_position(F.array(*map(F.lit, LINK_KINDS)), F.col("kind"))
-    return once.withColumn("nth", F.row_number().over(Window.partitionBy("page_id").orderBy(order, "pos"))).filter(F.col("nth") <= most).select("page_id", "nth", "target", "kind")
+    return first.withColumn("nth", F.row_number().over(Window.partitionBy("page_id").orderBy(order, "pos"))).filter(F.col("nth") <= most).select("page_id", "nth", "target", "kind")
 
 
 class _Reader(HTMLParser):
