@@ -127,12 +127,17 @@ def recommends(text: Column, name: Column) -> Column:
     return F.coalesce(F.when(known, F.exists(around, lambda w: w.rlike(RECOMMENDS))), F.lit(False))
 
 
-def stated_places(goals: DataFrame, places: DataFrame, longest: int = 4) -> DataFrame:
-    """(id, place): places (place, at least 5 letters, up to `longest` words) that a goal (id, text) names as whole words."""
+def stated_places(goals: DataFrame, places: DataFrame, longest: int = 4, most: int = 10_000) -> DataFrame:
+    """(id, place): places (place, at least 5 letters, up to `longest` words) that a goal (id, text) names as whole words.
+
+    Up to `most` places, which is checked, go to every task; with more the runs of words are shuffled to them. The runs of
+    goals are never broadcast: Spark takes their size for that of the goals before they are exploded.
+    """
     words = F.filter(F.split(F.lower("text"), "[^\\p{L}\\p{N}_]+"), lambda w: w != "")
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(F.col("ws"), lambda _, i: F.array_join(F.slice(F.col("ws"), i + 1, n), " "))))
     said = goals.select("id", F.explode(F.array(words)).alias("ws")).select("id", F.explode(F.array_distinct(runs)).alias("run"))
     known = places.filter(F.length("place") >= 5).select("place", F.trim(F.regexp_replace(F.lower("place"), "[^\\p{L}\\p{N}_]+", " ")).alias("run")).distinct()
+    known = F.broadcast(known) if known.limit(most + 1).count() <= most else known.hint("merge")
     return said.join(known, "run").select("id", "place").distinct()
 
 
