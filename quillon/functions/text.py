@@ -89,10 +89,23 @@ def emails_in(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("@")), found).otherwise(F.array().cast("array<string>"))
 
 
+def one_decimal(x: Column) -> Column:
+    """A double from 0 as text with one decimal, rounded as C and Python do: by its exact value, ties to even.
+
+    format_string rounds half up what the shortest decimal form shows. 20 x = 16 x + 4 x is compared exactly with the odd
+    number between two tenths: the sum, and by how much it was rounded.
+    """
+    a, b = x * 16.0, x * 4.0
+    low = F.floor((a + b) / 2.0)
+    over = ((a + b) - (2 * low + 1).cast("double")) + (b - ((a + b) - a))
+    tenths = low + F.when((over > 0) | ((over == 0) & (low % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def money_words(amount: Column) -> Column:
     """$1.2B, $3.4M or $5 from whole dollars; null stays null."""
     return (
-        F.when(amount >= 1_000_000_000, F.format_string("$%.1fB", amount / 1e9))
-        .when(amount >= 1_000_000, F.format_string("$%.1fM", amount / 1e6))
+        F.when(amount >= 1_000_000_000, F.concat(F.lit("$"), one_decimal(amount / 1e9), F.lit("B")))
+        .when(amount >= 1_000_000, F.concat(F.lit("$"), one_decimal(amount / 1e6), F.lit("M")))
         .when(amount.isNotNull(), F.format_string("$%d", amount))
     )
