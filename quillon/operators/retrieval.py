@@ -21,6 +21,8 @@ COUNT_AFTER = "\\b(\\d{1,3})\\s+(?:\\*\\*)?(?:family off|multi-family|record|fir
 COUNT_BEFORE = "(?:there are|a total of|count of|found)\\s+(?:\\*\\*)?(\\d{1,3})"
 #: Queries that a record is compared with at once, and up to how many queries go to every task as one matrix.
 BLOCK, MATRIX = 256, 16_384
+#: Distances that a task takes at once: queries times records.
+CELLS = 2_000_000
 WEIGHTS = {"semantic": 0.35, "sector": 0.25, "confidence": 0.15, "reachability": 0.15, "signals": 0.10}
 
 
@@ -35,49 +37,77 @@ def distances(index: DataFrame, queries: DataFrame) -> DataFrame:
     return each.select(F.col("q.query").alias("query"), "id", cosine_distance(F.col("v"), F.col("q.qv")).alias("distance"))
 
 
-def _nearest(names: pa.Array, matrix: np.ndarray, n: int):
-    """Of each task's records: those among the n nearest of a query there, give or take rounding, with both vectors."""
+def _nearest(names: pa.Array, asked: np.ndarray, n: int, kind: pa.DataType):
+    """Of each task's records the n nearest of each query, by exact distance and id; all that is held is n rows a query and a slice.
+
+    A matrix product finds what may be among them; distances of that are then taken in the order of components, as
+    cosine_distance takes them, so that rows of equal vectors have equal distances.
+    """
     lists = pa.list_(pa.float64())
+    length = np.sqrt(np.add.accumulate(asked * asked, axis=1)[:, -1])
+    unit = asked / np.maximum(length, 1e-300)[:, None]
+
+    def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+        both, own = np.zeros(len(q)), np.zeros(len(q))
+        for j in range(asked.shape[1]):
+            both += x[:, j] * asked[q, j]
+            own += x[:, j] * x[:, j]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return 1 - both / (np.sqrt(own) * length[q])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.full((len(names), 0), np.inf)
+        limit, step = np.full(len(asked), np.inf), max(n + 1, CELLS // len(asked))
+        held, new, waiting = [], [], 0
+
+        def best() -> list[tuple]:
+            q, dist, ids = (np.concatenate(c) for c in zip(*held, *new))
+            order = np.lexsort((ids, dist, q))
+            q, dist, ids = q[order], dist[order], ids[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            limit[q[place == n - 1]] = dist[place == n - 1]
+            return [(q[place < n], dist[place < n], ids[place < n])]
+
         for batch in batches:
-            if not len(batch):
-                continue
-            x = batch.column("vector").cast(lists).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
-            norm = np.sqrt((x * x).sum(axis=1))
-            far = 1 - matrix @ (x / np.where(norm == 0, 1, norm)[:, None]).T
-            best = np.concatenate([best, far], axis=1)
-            if best.shape[1] > n:
-                best = np.partition(best, n - 1, axis=1)[:, :n]
-            limit = best.max(axis=1) if best.shape[1] == n else np.full(len(names), np.inf)
-            q, i = np.nonzero((far <= limit[:, None] + 1e-9) & (norm > 0)[None, :])
-            out = [names.take(pa.array(q)), batch.column("id").take(pa.array(i)), batch.column("vector").take(pa.array(i))]
-            yield pa.RecordBatch.from_arrays(out, ["query", "id", "vector"])
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
+                x = part.column("vector").cast(lists).flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+                norm = np.sqrt((x * x).sum(axis=1))
+                far = 1 - unit @ (x / np.where(norm == 0, 1, norm)[:, None]).T
+                far[:, norm == 0] = np.inf
+                bound = np.partition(far, n - 1, axis=1)[:, n - 1] if len(part) > n and np.isinf(limit).any() else np.inf
+                near = (far <= np.minimum(limit, bound)[:, None] + 1e-9) & (norm > 0)[None, :]
+                q, i = np.nonzero(near)
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                for a in range(0, len(q), CELLS // 64):
+                    some = slice(a, a + CELLS // 64)
+                    new.append((q[some], exact(q[some], x[i[some]]), ids[i[some]]))
+                waiting += len(q)
+                if waiting > n * len(asked):  # as many as are held, so that a row is sorted few times
+                    held, new, waiting = best(), [], 0
+        for q, dist, ids in best() if held or new else []:
+            for at in range(0, len(q), 100_000):
+                cut = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(q[cut])), pa.array(ids[cut], kind), pa.array(dist[cut])], ["query", "id", "distance"])
 
     return run
 
 
 def dense(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
-    """(query, id, distance, rank): the n nearest of each query; each task keeps what may be among them before anything is shuffled.
+    """(query, id, distance, rank): the n nearest of each query; each task keeps its n nearest before anything is shuffled.
 
-    Up to MATRIX queries, which is checked, go to all tasks as one matrix, and exact distances are taken of what passes;
-    more are compared block by block.
+    Up to MATRIX queries, which is checked, go to all tasks as one matrix; more are compared block by block.
     """
     held = queries.select("query", doubles(F.col("vector")).alias("qv")).limit(MATRIX + 1).collect()
     widths = {len(r["qv"]) for r in held}
     if not held or len(held) > MATRIX or len(widths) > 1:
         far = distances(index, queries)
     else:
-        matrix = np.array([r["qv"] for r in held])
-        matrix = matrix / np.maximum(np.sqrt((matrix * matrix).sum(axis=1)), 1e-300)[:, None]
+        asked = np.array([r["qv"] for r in held])
         kinds = dict(index.dtypes)
         same = index.filter(F.size("vector") == widths.pop()).select("id", "vector")
         names = pa.array([r["query"] for r in held], to_arrow_type(queries.schema["query"].dataType))
-        shape = f"query {dict(queries.dtypes)['query']}, id {kinds['id']}, vector {kinds['vector']}"
-        near = same.mapInArrow(_nearest(names, matrix, n), shape)
-        asked = queries.select("query", doubles(F.col("vector")).alias("qv"))
-        far = near.join(asked, "query").select("query", "id", cosine_distance(doubles(F.col("vector")), F.col("qv")).alias("distance"))
+        run = _nearest(names, asked, n, to_arrow_type(index.schema["id"].dataType))
+        far = same.mapInArrow(run, f"query {dict(queries.dtypes)['query']}, id {kinds['id']}, distance double")
     return first_rows(far, ["query"], n, F.asc("distance"), F.asc("id")).withColumnRenamed("#n", "rank")
 
 
