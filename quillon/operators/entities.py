@@ -19,10 +19,18 @@ COMMON_WORDS = [
 ENDINGS = [".com", ".net", ".co"]
 
 
-def same_domain(entities: DataFrame) -> DataFrame:
-    """(key, domain, others): entities (key, domain) that share a domain, with the others of it, in order."""
-    groups = entities.groupBy("domain").agg(F.array_sort(F.collect_set("key")).alias("keys")).filter(F.size("keys") > 1)
-    return entities.join(groups, "domain").select("key", "domain", F.array_except("keys", F.array("key")).alias("others"))
+def same_domain(entities: DataFrame, share: int = 1000) -> DataFrame:
+    """(key, domain, others): entities (key, domain) that share a domain, with the others of it, in order.
+
+    Rows of a domain are dealt into parts of about `share`, each of which gets the list of its keys: what is given out is
+    the square of a group by its nature, but no task has to write all of it.
+    """
+    groups = entities.groupBy("domain").agg(F.array_sort(F.collect_set("key")).alias("keys"), F.count("*").alias("rows")).filter(F.size("keys") > 1)
+    parts = F.ceil(F.col("rows") / share).cast("int")
+    sizes = entities.groupBy("domain").agg(F.count("*").alias("rows")).select("domain", parts.alias("parts"))
+    dealt = entities.join(sizes, "domain").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    lists = groups.select("domain", "keys", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return dealt.join(lists.hint("merge"), ["domain", "part"]).select("key", "domain", F.coalesce(F.array_remove("keys", F.col("key")), "keys").alias("others"))
 
 
 def not_held(candidates: DataFrame, *held: DataFrame) -> DataFrame:
