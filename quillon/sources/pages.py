@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,14 +158,21 @@ def stitched(pages: DataFrame, budget: int = STITCH_BUDGET) -> DataFrame:
     return parts.groupBy("key").agg(F.array_join(F.filter(F.transform(ordered, lambda x: x["part"]), lambda p: p.isNotNull()), "\n").alias("stitched"), F.count("*").alias("pages"))
 
 
-def spans(texts: DataFrame, pattern: str, around: int = 80, most: int = 3) -> DataFrame:
-    """(id, spans): up to `most` matches with `around` characters on either side; contexts may overlap, so by pandas."""
+def spans(texts: DataFrame, pattern: str, around: int = 80, most: int = 3, rows: int = 500) -> DataFrame:
+    """(id, spans): up to `most` matches with `around` characters on either side; contexts may overlap, so by a function in
+    Python, which holds one text at a time beside its Arrow batch."""
     import re
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = re.compile(pattern)
+
+        def found(t: str) -> list[str]:
+            return [" ".join(t[max(0, m.start() - around) : m.end() + around].split()) for m, _ in zip(find.finditer(t), range(most))]
+
         for batch in batches:
-            found = [[" ".join(t[max(0, m.start() - around) : m.end() + around].split()) for m, _ in zip(find.finditer(t or ""), range(most))] for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "spans": found})
+            for at in range(0, len(batch), rows):
+                part = batch.slice(at, rows)
+                out = pa.array([found(t.as_py() or "") for t in part.column("text")], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), out], ["id", "spans"])
 
-    return texts.select("id", "text").mapInPandas(run, "id long, spans array<string>")
+    return texts.select("id", "text").mapInArrow(run, "id long, spans array<string>")
