@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -14,6 +15,7 @@ from quillon.functions import dates, search
 from quillon.functions.text import emails_in
 from quillon.functions.vectors import cosine_distance, doubles
 from quillon.operators.keyed import first_rows
+from quillon.operators.storage import settled
 
 # Constants of fusion and ranking, and what states a count of records in lower-cased prose.
 RRF_K, POOL, FLOOR = 60, 20, 0.64
@@ -23,6 +25,8 @@ COUNT_BEFORE = "(?:there are|a total of|count of|found)\\s+(?:\\*\\*)?(\\d{1,3})
 BLOCK, MATRIX = 256, 16_384
 #: Distances that a task takes at once: queries times records.
 CELLS = 2_000_000
+#: Postings of a block of documents, which a task holds.
+POSTINGS = 3_000_000
 WEIGHTS = {"semantic": 0.35, "sector": 0.25, "confidence": 0.15, "reachability": 0.15, "signals": 0.10}
 
 
@@ -121,7 +125,99 @@ def inverted_index(docs: DataFrame) -> DataFrame:
     # Words are exploded before they are tested, as that is compiled and a function over an array is not.
     words = docs.select("id", F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word")).filter((F.col("word") != "") & ~F.col("word").isin(search.STOPWORDS))
     counted = words.groupBy("id", "word").agg(F.count("*").alias("n"))
-    return counted.groupBy(search.stem(F.col("word")).alias("term"), "id").agg(F.sum("n").alias("tf"))
+    single = counted.select("id", search.singular(F.col("word")).alias("single"), "n")
+    return single.groupBy(search.without_ending(F.col("single")).alias("term"), "id").agg(F.sum("n").alias("tf"))
+
+
+def query_sets(asked: DataFrame, name: str) -> DataFrame:
+    """(own, terms, queries): the different sets of terms of queries (query, term), each under the least of its queries."""
+    each = asked.groupBy("query").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    return settled(each.groupBy("terms").agg(F.min("query").alias("own"), F.collect_list("query").alias("queries")), name)
+
+
+def by_blocks(index: DataFrame, sets: DataFrame, many: int):
+    """Postings of terms that are asked for, dealt by document into blocks, and all sets beside each block."""
+    wanted = sets.select(F.explode("terms").alias("term")).distinct()
+    left = index.join(wanted, "term").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(many)).cast("int"))
+    right = sets.select("own", "terms", F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("block"))
+    return left.groupBy("block").cogroup(right.groupBy("block"))
+
+
+class Postings:
+    """The postings of a block by term: places among its documents, which are numbered in order of their ids."""
+
+    def __init__(self, rows: pa.Table, sets: pa.Table):
+        term = rows.column("term").combine_chunks().dictionary_encode()
+        ids, doc = np.unique(rows.column("id").to_numpy(), return_inverse=True)
+        code = term.indices.to_numpy(zero_copy_only=False)
+        self.order = np.lexsort((doc, code))
+        self.ids, self.doc = ids, doc[self.order]
+        self.bound = np.searchsorted(code[self.order], np.arange(len(term.dictionary) + 1))
+        terms = sets.column("terms").combine_chunks()
+        self.asked = pc.index_in(terms.flatten(), term.dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
+        self.starts = np.concatenate([[0], np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+    def matches(self):
+        """(set, terms, docs, rows): of each set the documents that hold all its terms, and of each term their rows in order of (term, id)."""
+        wide = {}
+        for k, (a, b) in enumerate(zip(self.starts, self.starts[1:])):
+            codes = self.asked[a:b]
+            if not len(codes) or codes.min() < 0:
+                continue
+            codes = codes[np.argsort(self.bound[codes + 1] - self.bound[codes], kind="stable")]
+            docs = self.doc[self.bound[codes[0]] : self.bound[codes[0] + 1]]
+            rows = [np.arange(self.bound[codes[0]], self.bound[codes[0] + 1])]
+            for c in codes[1:]:
+                if c not in wide:  # where each document stands in the list of a term
+                    own = self.doc[self.bound[c] : self.bound[c + 1]]
+                    if 16 * len(own) > len(self.ids):
+                        wide[c] = np.full(len(self.ids), -1, np.int32)
+                        wide[c][own] = np.arange(len(own))
+                if c in wide:
+                    at = wide[c][docs]
+                else:
+                    at = np.searchsorted(own := self.doc[self.bound[c] : self.bound[c + 1]], docs)
+                    at = np.where(own[np.minimum(at, len(own) - 1)] == docs, at, -1)
+                held = at >= 0
+                docs, rows = docs[held], [r[held] for r in rows] + [self.bound[c] + at[held]]
+                if not len(docs):
+                    break
+            if len(docs):
+                yield k, codes, docs, rows
+
+
+def best_rows(score: np.ndarray, n: int) -> np.ndarray:
+    """The places of the n greatest, ties in order."""
+    if len(score) > n:
+        near = np.flatnonzero(score >= -np.partition(-score, n - 1)[n - 1])
+        return near[np.argsort(-score[near], kind="stable")][:n]
+    return np.argsort(-score, kind="stable")
+
+
+def _most(n: int, own: pa.DataType, kind: pa.DataType):
+    """Of each set of terms the n documents of a block with the greatest product of frequencies; ties by id."""
+
+    def run(rows: pa.Table, sets: pa.Table) -> pa.Table:
+        none = pa.table({"own": pa.array([], own), "id": pa.array([], kind), "p": pa.array([], pa.float64())})
+        if not len(rows) or not len(sets):
+            return none
+        held = Postings(rows, sets)
+        tf = rows.column("tf").to_numpy().astype(np.float64)[held.order]
+        found, ids, products = [], [], []
+        for k, _, docs, at in held.matches():
+            p = tf[at[0]]
+            for r in at[1:]:
+                p = p * tf[r]
+            top = best_rows(p, n)
+            found.append(np.full(len(top), k))
+            ids.append(held.ids[docs[top]])
+            products.append(p[top])
+        if not found:
+            return none
+        names = sets.column("own").combine_chunks().take(pa.array(np.concatenate(found)))
+        return pa.table({"own": names, "id": pa.array(np.concatenate(ids), kind), "p": pa.array(np.concatenate(products))})
+
+    return run
 
 
 def lexical(index: DataFrame, queries: DataFrame, n: int = POOL, living: DataFrame | None = None) -> DataFrame:
@@ -129,16 +225,20 @@ def lexical(index: DataFrame, queries: DataFrame, n: int = POOL, living: DataFra
 
     index is (term, id, tf); only rows of a query's terms are read on. The score is the sum of 1 + ln of each frequency,
     taken as the logarithm of their product, which is exact, so that equal scores are equal. Of an index in segments,
-    postings count whose (id, segment) is among the living.
+    postings count whose (id, segment) is among the living. Postings are dealt by document into blocks, each of which
+    gives the n best of each different set of terms; the rows that match are never shuffled.
     """
-    asked = queries.select("query", F.explode(F.array_distinct(search.terms(F.col("text")))).alias("word")).select("query", search.stem(F.col("word")).alias("term")).distinct()
-    sizes = asked.groupBy("query").agg(F.count("*").alias("size"))
-    found = index.join(asked, "term")
+    words = queries.select("query", F.explode(F.array_distinct(search.terms(F.col("text")))).alias("word"))
+    asked = words.select("query", search.stem(F.col("word")).alias("term"))
+    sets, many = query_sets(asked, "asked"), max(1, -(-index.count() // POSTINGS))
     if living is not None:
-        found = found.join(living, ["id", "segment"], "left_semi")
-    hits = found.groupBy("query", "id").agg(F.count("*").alias("matched"), F.product("tf").alias("p"))
-    every = hits.join(sizes, "query").filter("matched = size").select("query", "id", (F.col("size") + F.ln("p")).alias("score"), "p")
-    return first_rows(every, ["query"], n, F.desc("p"), F.asc("id")).drop("p").withColumnRenamed("#n", "rank")
+        index = index.join(living, ["id", "segment"], "left_semi")
+    types = dict(sets.dtypes) | dict(index.dtypes)
+    run = _most(n, to_arrow_type(sets.schema["own"].dataType), to_arrow_type(index.schema["id"].dataType))
+    each = by_blocks(index.select("term", "id", "tf"), sets, many).applyInArrow(run, f"own {types['own']}, id {types['id']}, p double")
+    best = first_rows(each, ["own"], n, F.desc("p"), F.asc("id"))
+    every = best.join(sets, "own").select(F.explode("queries").alias("query"), "id", (F.size("terms") + F.ln("p")).alias("score"), F.col("#n").alias("rank"))
+    return every
 
 
 def fused(vector: DataFrame, words: DataFrame, k: int = 10) -> DataFrame:
