@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +20,25 @@ HOUR = 3_600_000_000
 STARTS = 4
 
 
-def in_batches(spark: SparkSession, rows: DataFrame, rule: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+@contextmanager
+def partitions(spark: SparkSession, most: int):
+    """At most so many partitions of shuffles and state inside: each costs a start of Python and a commit in every batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def in_batches(spark: SparkSession, rows: DataFrame, rule: Callable[..., DataFrame], name: str) -> DataFrame:
     """What a stream with a delay of one day gives for rows (ts, ...), which come in STARTS starts on one checkpoint.
 
     Every second row of the last half day of a start comes with the next one, in the order of a hash; a last row of the
-    far future lets the watermark pass everything.
+    far future lets the watermark pass everything. Buckets and partitions of state follow from the number of rows.
     """
     path, state, out = (shared_path(spark, f"{name}-{kind}") for kind in ("in", "state", "out"))
-    began, ended = rows.agg(F.min("ts"), F.max("ts")).first() or (None, None)
+    began, ended, many = rows.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
     if began is None:
         return spark.createDataFrame([], rule(rows.filter("false")).schema)
     step = (ended - began) / STARTS
@@ -35,11 +48,13 @@ def in_batches(spark: SparkSession, rows: DataFrame, rule: Callable[[DataFrame],
     late = (at % width >= width - 12 * HOUR) & (F.xxhash64("id") % 2 == 0)
     dealt = rows.withColumn("start", due + late.cast("int"))
     far = rows.limit(1).withColumn("ts", F.lit("2200-01-01").cast("timestamp"))
-    for k in range(STARTS + 2):
-        part = dealt.filter(F.col("start") == k).drop("start") if k <= STARTS else far
-        part.orderBy(F.xxhash64("id", F.lit(k))).write.mode("append").parquet(path)
-        stream = rule(spark.readStream.schema(rows.schema).parquet(path))
-        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    many = stateful.buckets(many)
+    with partitions(spark, max(2, many // 8)):
+        for k in range(STARTS + 2):
+            part = dealt.filter(F.col("start") == k).drop("start") if k <= STARTS else far
+            part.orderBy(F.xxhash64("id", F.lit(k))).write.mode("append").parquet(path)
+            stream = rule(spark.readStream.schema(rows.schema).parquet(path), many=many)
+            stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -70,7 +85,7 @@ def admission_cap(spark, sf):
 @query("admission_stream", fold_sql("user_id", 2, 6 * HOUR))
 def admission_stream(spark, sf):
     rows = events(spark, sf).select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
-    return in_batches(spark, rows, lambda s: stateful.admitting(s, 2, 6 * HOUR), "admission").select(F.col("id").alias("event_id"), "admitted")
+    return in_batches(spark, rows, partial(stateful.admitting, cap=2, span=6 * HOUR), "admission").select(F.col("id").alias("event_id"), "admitted")
 
 
 @query(
