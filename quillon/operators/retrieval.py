@@ -135,10 +135,14 @@ def query_sets(asked: DataFrame, name: str) -> DataFrame:
     return settled(each.groupBy("terms").agg(F.min("query").alias("own"), F.collect_list("query").alias("queries")), name)
 
 
+def asked_for(index: DataFrame, sets: DataFrame) -> DataFrame:
+    """Postings of the terms of sets."""
+    return index.join(sets.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi")
+
+
 def by_blocks(index: DataFrame, sets: DataFrame, many: int):
-    """Postings of terms that are asked for, dealt by document into blocks, and all sets beside each block."""
-    wanted = sets.select(F.explode("terms").alias("term")).distinct()
-    left = index.join(wanted, "term").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(many)).cast("int"))
+    """Postings dealt by document into blocks, and all sets beside each block."""
+    left = index.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(many)).cast("int"))
     right = sets.select("own", "terms", F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("block"))
     return left.groupBy("block").cogroup(right.groupBy("block"))
 
@@ -231,7 +235,8 @@ def lexical(index: DataFrame, queries: DataFrame, n: int = POOL, living: DataFra
     words = queries.select("query", F.explode(F.array_distinct(search.terms(F.col("text")))).alias("word"))
     asked = words.select("query", search.stem(F.col("word")).alias("term"))
     sets, many = query_sets(asked, "asked"), max(1, -(-index.count() // POSTINGS))
-    if living is not None:
+    index = asked_for(index, sets)
+    if living is not None:  # only now, so that the postings nobody asks for are not shuffled
         index = index.join(living, ["id", "segment"], "left_semi")
     types = dict(sets.dtypes) | dict(index.dtypes)
     run = _most(n, to_arrow_type(sets.schema["own"].dataType), to_arrow_type(index.schema["id"].dataType))
