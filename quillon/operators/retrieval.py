@@ -148,21 +148,28 @@ def by_blocks(index: DataFrame, sets: DataFrame, many: int):
 
 
 class Postings:
-    """The postings of a block by term: places among its documents, which are numbered in order of their ids."""
+    """The postings of a block in order of (term, document): terms are numbers, documents places among the ids; sets are ranges of `asked`."""
 
-    def __init__(self, rows: pa.Table, sets: pa.Table):
+    def __init__(self, ids: np.ndarray, code: np.ndarray, doc: np.ndarray, terms: int, asked: np.ndarray, starts: np.ndarray):
+        self.ids, self.doc, self.asked, self.starts = ids, doc, asked, starts
+        self.bound = np.searchsorted(code, np.arange(terms + 1))
+
+    @classmethod
+    def of(cls, rows: pa.Table, sets: pa.Table) -> Postings:
+        """Of rows (term, id) in any order, which `order` puts in order, and sets (terms)."""
         term = rows.column("term").combine_chunks().dictionary_encode()
         ids, doc = np.unique(rows.column("id").to_numpy(), return_inverse=True)
         code = term.indices.to_numpy(zero_copy_only=False)
-        self.order = np.lexsort((doc, code))
-        self.ids, self.doc = ids, doc[self.order]
-        self.bound = np.searchsorted(code[self.order], np.arange(len(term.dictionary) + 1))
+        order = np.lexsort((doc, code))
         terms = sets.column("terms").combine_chunks()
-        self.asked = pc.index_in(terms.flatten(), term.dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
-        self.starts = np.concatenate([[0], np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        asked = pc.index_in(terms.flatten(), term.dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        held = cls(ids, code[order], doc[order], len(term.dictionary), asked, starts)
+        held.order = order
+        return held
 
     def matches(self):
-        """(set, terms, docs, rows): of each set the documents that hold all its terms, and of each term their rows in order of (term, id)."""
+        """(set, docs, rows): of each set the documents that hold all its terms, and of each term their rows in order of (term, id)."""
         wide = {}
         for k, (a, b) in enumerate(zip(self.starts, self.starts[1:])):
             codes = self.asked[a:b]
@@ -187,7 +194,7 @@ class Postings:
                 if not len(docs):
                     break
             if len(docs):
-                yield k, codes, docs, rows
+                yield k, docs, rows
 
 
 def best_rows(score: np.ndarray, n: int) -> np.ndarray:
@@ -205,10 +212,10 @@ def _most(n: int, own: pa.DataType, kind: pa.DataType):
         none = pa.table({"own": pa.array([], own), "id": pa.array([], kind), "p": pa.array([], pa.float64())})
         if not len(rows) or not len(sets):
             return none
-        held = Postings(rows, sets)
+        held = Postings.of(rows, sets)
         tf = rows.column("tf").to_numpy().astype(np.float64)[held.order]
         found, ids, products = [], [], []
-        for k, _, docs, at in held.matches():
+        for k, docs, at in held.matches():
             p = tf[at[0]]
             for r in at[1:]:
                 p = p * tf[r]

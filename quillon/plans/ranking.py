@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quillon.functions import porter
 from quillon.functions.search import STOPWORDS
 from quillon.operators import ranking
-from quillon.operators.storage import settled
 from quillon.plans.records import table
 from quillon.plans.retrieval import documents
 from quillon.registry import query
@@ -70,12 +69,8 @@ def ranked_search(spark, sf):
     """Two words of every document whose number is divisible by 50, looked for in all documents; with and without regard to length."""
     docs = documents(spark, sf)
     said = docs.filter("id % 50 = 0").select(F.col("id").alias("query"), F.array_join(F.slice(F.split("text", " "), 3, 2), " ").alias("text"))
-    index = settled(ranking.postings(docs), "postings")
-    out = None
-    for kind, sizes in (("plain", None), ("by length", ranking.lengths(docs))):
-        part = ranking.ranked(index, said, 20, sizes).select(F.lit(kind).alias("kind"), "query", "id", "rank", F.floor(F.round(F.col("score") * 1e6) / 10).cast("long").alias("score"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    kind, score = F.when(F.col("by_length"), "by length").otherwise("plain"), F.floor(F.round(F.col("score") * 1e6) / 10).cast("long")
+    return ranking.ranked_texts(docs, said, 20).select(kind.alias("kind"), "query", "id", "rank", score.alias("score"))
 
 
 @query(
