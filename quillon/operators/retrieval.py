@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from quillon.operators.storage import settled
 RRF_K, POOL, FLOOR = 60, 20, 0.64
 COUNT_AFTER = "\\b(\\d{1,3})\\s+(?:\\*\\*)?(?:family off|multi-family|record|firm|result|match)"
 COUNT_BEFORE = "(?:there are|a total of|count of|found)\\s+(?:\\*\\*)?(\\d{1,3})"
-#: Queries that a record is compared with at once, and up to how many queries go to every task as one matrix.
+#: Queries that a record is compared with at once, and how many a task holds as one matrix.
 BLOCK, MATRIX = 256, 16_384
+#: Into how many parts rows are dealt at most, of which each gives its best of each query: more of them would give out more.
+PARTS = 64
 #: Distances that a task takes at once: queries times records.
 CELLS = 2_000_000
 #: Postings of a block of documents, which a task holds.
@@ -96,22 +99,78 @@ def _nearest(names: pa.Array, asked: np.ndarray, n: int, kind: pa.DataType):
     return run
 
 
+def in_turn(columns: dict[str, str], tasks: int, *sides: tuple[DataFrame, Column]) -> DataFrame:
+    """(side, columns): the rows of several sides, each row in all the tasks of an array of numbers; a task reads side 0 first, then side 1 and so on."""
+    out = None
+    for number, (rows, places) in enumerate(sides):
+        held = [F.col(c) if c in rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns.items()]
+        part = rows.select(F.explode(places).alias("part"), F.lit(number).alias("side"), *held)
+        out = part if out is None else out.unionByName(part)
+    return out.repartitionById(tasks, "part").sortWithinPartitions("side").drop("part")
+
+
+def grid(chunk: str, row: str, chunks: int, parts: int) -> tuple[Column, Column]:
+    """The tasks of what is asked, by its chunk, and of rows, by their part: part p meets chunk c in task c * parts + p."""
+    c, p = F.pmod(F.xxhash64(chunk), F.lit(chunks)).cast("int"), F.pmod(F.xxhash64(row), F.lit(parts)).cast("int")
+    return F.sequence(c * parts, c * parts + parts - 1), F.sequence(p, p + parts * (chunks - 1), F.lit(parts))
+
+
+def _nearest_in_turn(n: int, kind: pa.DataType):
+    """A task's queries (side 0) as one matrix, and of its records (side 1) the n nearest of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = []
+
+        def records() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                first = int(np.searchsorted(batch.column("side").to_numpy(), 1))
+                if first:
+                    asked.append(batch.slice(0, first))
+                if first < len(batch):
+                    yield batch.slice(first)
+
+        rows = records()
+        for one in rows:
+            if asked:  # a chunk may be empty
+                names = pa.concat_arrays([b.column("query") for b in asked])
+                matrix = pa.concat_arrays([b.column("vector") for b in asked]).flatten().to_numpy(zero_copy_only=False).reshape(len(names), -1)
+                yield from _nearest(names, matrix, n, kind)(chain([one], rows))
+
+    return run
+
+
 def dense(index: DataFrame, queries: DataFrame, n: int = POOL) -> DataFrame:
     """(query, id, distance, rank): the n nearest of each query; each task keeps its n nearest before anything is shuffled.
 
-    Up to MATRIX queries, which is checked, go to all tasks as one matrix; more are compared block by block.
+    Up to MATRIX queries, which is checked, go to all tasks as one matrix. More are dealt into chunks of about as many,
+    and records into parts; a task reads a chunk, then streams a part. Vectors are compared with those of their length;
+    null and zero ones of the index are never near.
     """
-    held = queries.select("query", doubles(F.col("vector")).alias("qv")).limit(MATRIX + 1).collect()
-    widths = {len(r["qv"]) for r in held}
-    if not held or len(held) > MATRIX or len(widths) > 1:
-        far = distances(index, queries)
+    asked, rows = (x.filter(F.size("vector") > 0).select(k, doubles(F.col("vector")).alias("vector")) for x, k in ((queries, "query"), (index, "id")))
+    held = asked.limit(MATRIX + 1).collect()
+    if not held:
+        far = distances(index.limit(0), queries)
     else:
-        asked = np.array([r["qv"] for r in held])
-        kinds = dict(index.dtypes)
-        same = index.filter(F.size("vector") == widths.pop()).select("id", "vector")
-        names = pa.array([r["query"] for r in held], to_arrow_type(queries.schema["query"].dataType))
-        run = _nearest(names, asked, n, to_arrow_type(index.schema["id"].dataType))
-        far = same.mapInArrow(run, f"query {dict(queries.dtypes)['query']}, id {kinds['id']}, distance double")
+        kinds, far = dict(index.dtypes) | dict(queries.dtypes), None
+        kind, shape = to_arrow_type(index.schema["id"].dataType), f"query {kinds['query']}, id {kinds['id']}, distance double"
+        many = len(held) > MATRIX
+        if many:
+            asked = settled(asked, "queries")
+            sizes = {r["width"]: r["count"] for r in asked.groupBy(F.size("vector").alias("width")).count().collect()}
+        else:
+            sizes = dict.fromkeys(len(r["vector"]) for r in held)
+        for width, count in sizes.items():
+            of_width = rows.filter(F.size("vector") == width)
+            if many:
+                chunks = -(-count // MATRIX)
+                own, places = grid("query", "id", chunks, PARTS)
+                columns = {"query": kinds["query"], "id": kinds["id"], "vector": "array<double>"}
+                part = in_turn(columns, PARTS * chunks, (asked.filter(F.size("vector") == width), own), (of_width, places)).mapInArrow(_nearest_in_turn(n, kind), shape)
+            else:
+                own = [r for r in held if len(r["vector"]) == width]
+                names = pa.array([r["query"] for r in own], to_arrow_type(queries.schema["query"].dataType))
+                part = of_width.mapInArrow(_nearest(names, np.array([r["vector"] for r in own]), n, kind), shape)
+            far = part if far is None else far.unionByName(part)
     return first_rows(far, ["query"], n, F.asc("distance"), F.asc("id")).withColumnRenamed("#n", "rank")
 
 
