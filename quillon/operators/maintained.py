@@ -61,7 +61,7 @@ class MaintainedIndex:
                 gone = judged.filter("change = 'dropped'").select("id", "digest", F.lit(None).cast(shown.schema["vector"].dataType).alias("vector"), F.lit(segment).alias("segment"), F.lit(True).alias(GONE))
                 layers["entries"] = [*base.of("entries"), self.store.write(shown.unionByName(gone))]
                 if notes["encoded"]:
-                    postings = retrieval.inverted_index(fresh.select("id", F.col("content").alias("text"))).withColumn("segment", F.lit(segment))
+                    postings = retrieval.index_of_texts(fresh.select("id", F.col("content").alias("text"))).withColumn("segment", F.lit(segment))
                     layers["postings"] = [*base.of("postings"), self.store.write(postings.sortWithinPartitions("term"))]
             self.store.discard(work)
             return layers, notes

@@ -30,7 +30,11 @@ PARTS = 64
 CELLS = 2_000_000
 #: Postings of a block of documents, which a task holds.
 POSTINGS = 3_000_000
+#: Bytes of text that are split into words at once.
+BYTES = 1 << 22
 WEIGHTS = {"semantic": 0.35, "sector": 0.25, "confidence": 0.15, "reachability": 0.15, "signals": 0.10}
+_WORD = np.zeros(256, dtype=bool)
+_WORD[np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)] = True
 
 
 def distances(index: DataFrame, queries: DataFrame) -> DataFrame:
@@ -188,6 +192,74 @@ def inverted_index(docs: DataFrame) -> DataFrame:
     return single.groupBy(search.without_ending(F.col("single")).alias("term"), "id").agg(F.sum("n").alias("tf"))
 
 
+def split_words(texts: pa.Array) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Of lower-cased texts, some at a time: the first one's number, all their words, and where the words of each begin (one more at the end)."""
+    texts = texts.cast(pa.string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + BYTES, side="right")) - 1)
+        some, bounds = data[ends[at] : ends[stop]], ends[at : stop + 1] - ends[at]
+        kept = _WORD[some]
+        first = kept.copy()
+        first[1:] &= ~kept[:-1]
+        begins = bounds[:-1][bounds[:-1] < len(some)]
+        first[begins] = kept[begins]
+        starts, letters = np.flatnonzero(first), some[kept]
+        offsets = np.append(np.cumsum(kept, dtype=np.int32)[starts] - 1, len(letters)).astype(np.int32)
+        yield at, pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters)), np.searchsorted(starts, bounds)
+        at = stop
+
+
+def _counts(group: np.ndarray, words: pa.Array, n: np.ndarray | None = None) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(group, word, n): how often each word stands in each group of numbers, or the sums of n."""
+    coded = words.dictionary_encode()
+    key = group.astype(np.int64) * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
+    keys, own = np.unique(key, return_inverse=True)
+    sums = np.bincount(own, n, len(keys)).astype(np.int64)
+    group, code = np.divmod(keys, max(1, len(coded.dictionary)))
+    return group, coded.dictionary.take(pa.array(code)), sums
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, word, n) of texts (id, text); the rows of a text follow one another."""
+    for batch in batches:
+        for start, words, bounds in split_words(batch.column("text")):
+            doc, word, n = _counts(np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), words)
+            ids = batch.column("id").slice(start, len(bounds) - 1).take(pa.array(doc))
+            yield pa.RecordBatch.from_arrays([ids, word, pa.array(n)], ["id", "word", "n"])
+    pa.default_memory_pool().release_unused()  # else an idle worker keeps it
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, id, tf) of rows (id, term, n), in which those of an id follow one another."""
+    held = None
+    for batch in chain(batches, [None]):
+        rows = pa.concat_batches([x for x in (held, batch) if x is not None]) if held is not None or batch is not None else None
+        if rows is None or not len(rows):
+            continue
+        ids = rows.column("id")
+        codes = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        whole = len(rows) if batch is None else int(starts[-1])  # the last id may go on
+        held = rows.slice(whole)
+        if not whole:
+            continue
+        run = np.searchsorted(starts, np.arange(whole), side="right") - 1
+        doc, term, tf = _counts(run, rows.column("term").slice(0, whole), rows.column("n").to_numpy()[:whole])
+        yield pa.RecordBatch.from_arrays([term, ids.take(pa.array(starts[doc])), pa.array(tf)], ["term", "id", "tf"])
+    pa.default_memory_pool().release_unused()
+
+
+def index_of_texts(docs: DataFrame) -> DataFrame:
+    """inverted_index of documents (id, text) with one row for each id: a task counts a text's words and terms, so nothing is shuffled."""
+    kind = dict(docs.dtypes)["id"]
+    counted = docs.select("id", F.lower("text").alias("text")).mapInArrow(_counted, f"id {kind}, word string, n long").filter(~F.col("word").isin(search.STOPWORDS))
+    single = counted.select("id", search.singular(F.col("word")).alias("single"), "n")
+    return single.select("id", search.without_ending(F.col("single")).alias("term"), "n").mapInArrow(_gathered, f"term string, id {kind}, tf long")
+
+
 def query_sets(asked: DataFrame, name: str) -> DataFrame:
     """(own, terms, queries): the different sets of terms of queries (query, term), each under the least of its queries."""
     each = asked.groupBy("query").agg(F.array_sort(F.collect_set("term")).alias("terms"))
